@@ -18,6 +18,21 @@ def _keys(keys) -> list[str]:
     return list(keys or [])
 
 
+def exact_sum(c: Column, scale: int | None) -> Column:
+    """Sum; with ``scale`` the total is rounded to the inputs' fixed decimals.
+
+    Float addition depends on the order rows meet in the tasks, so a plain sum
+    can change in its last bits between runs or partitionings. Inputs with a
+    fixed number of decimals (money) have an exact total at that scale, so
+    rounding to it makes the result reproducible everywhere."""
+    return F.sum(c) if scale is None else F.round(F.sum(c), scale)
+
+
+def exact_mean(c: Column, scale: int | None) -> Column:
+    """Mean; with ``scale`` it is the reproducible total divided by the count."""
+    return F.avg(c) if scale is None else F.try_divide(exact_sum(c, scale), F.count(c))
+
+
 def month_calendar(monthly: DataFrame, keys: list[str], date: str = "date") -> DataFrame:
     """Every month between each key's first and last month (one row per key-month)."""
     keys = _keys(keys)
@@ -41,20 +56,21 @@ def _fill_calendar(agg: DataFrame, keys: list[str], date: str,
 
 def monthly_sum(df: DataFrame, date_col: str, value_cols: list[str] | str,
                 keys: list[str] | None = None, date: str = "date",
-                out_names: list[str] | None = None) -> DataFrame:
+                out_names: list[str] | None = None, scale: int | None = None) -> DataFrame:
     """Sum per key-month; every month between the first and last is emitted, gaps -> 0."""
     keys = _keys(keys)
     value_cols = [value_cols] if isinstance(value_cols, str) else list(value_cols)
     out_names = out_names or value_cols
     base = _monthly(df, date_col, date)
     agg = base.groupBy(*keys, date).agg(*[
-        F.sum(c).alias(o) for c, o in zip(value_cols, out_names)])
+        exact_sum(F.col(c), scale).alias(o) for c, o in zip(value_cols, out_names)])
     return _fill_calendar(agg, keys, date, {o: F.coalesce(F.col(o), F.lit(0.0)) for o in out_names})
 
 
 def monthly_mean(df: DataFrame, date_col: str, value_cols: list[str] | str,
                  keys: list[str] | None = None, date: str = "date",
-                 out_names: list[str] | None = None, zero_fill: bool = False) -> DataFrame:
+                 out_names: list[str] | None = None, zero_fill: bool = False,
+                 scale: int | None = None) -> DataFrame:
     """Mean per key-month over the calendar; a month without rows stays NULL.
 
     ``zero_fill`` turns NULL values into 0 *before* the mean (missing days then
@@ -67,29 +83,33 @@ def monthly_mean(df: DataFrame, date_col: str, value_cols: list[str] | str,
     def v(c):
         return F.coalesce(F.col(c), F.lit(0.0)) if zero_fill else F.col(c)
 
-    agg = base.groupBy(*keys, date).agg(*[F.avg(v(c)).alias(o) for c, o in zip(value_cols, out_names)])
+    agg = base.groupBy(*keys, date).agg(*[
+        exact_mean(v(c), scale).alias(o) for c, o in zip(value_cols, out_names)])
     return _fill_calendar(agg, keys, date, None)
 
 
 def zero_fill_then_mean(df: DataFrame, date_col: str, value_cols, keys=None, date="date",
-                        out_names=None) -> DataFrame:
-    return monthly_mean(df, date_col, value_cols, keys, date, out_names, zero_fill=True)
+                        out_names=None, scale: int | None = None) -> DataFrame:
+    return monthly_mean(df, date_col, value_cols, keys, date, out_names, zero_fill=True, scale=scale)
 
 
 def two_period_mean_union(df: DataFrame, date_col: str, value_cols, split_date,
-                          keys=None, date="date", out_names=None) -> DataFrame:
+                          keys=None, date="date", out_names=None,
+                          scale: int | None = None) -> DataFrame:
     """Monthly mean of ``date < split`` and of ``date >= split`` separately, then union.
 
     Each part gets its own calendar, as two separate downloads would."""
     d = F.col(date_col)
-    early = monthly_mean(df.filter(d < F.lit(split_date)), date_col, value_cols, keys, date, out_names)
-    late = monthly_mean(df.filter(d >= F.lit(split_date)), date_col, value_cols, keys, date, out_names)
+    early = monthly_mean(df.filter(d < F.lit(split_date)), date_col, value_cols, keys, date,
+                         out_names, scale=scale)
+    late = monthly_mean(df.filter(d >= F.lit(split_date)), date_col, value_cols, keys, date,
+                        out_names, scale=scale)
     return early.unionByName(late)
 
 
 def monthly_pivot(df: DataFrame, date_col: str, category_col: str, value_col: str,
                   values: list, keys: list[str] | None = None, date: str = "date",
-                  names: list[str] | None = None) -> DataFrame:
+                  names: list[str] | None = None, scale: int | None = None) -> DataFrame:
     """Key-month x category sum.
 
     Months without rows are not emitted; an absent (month, category) pair is
@@ -100,7 +120,7 @@ def monthly_pivot(df: DataFrame, date_col: str, category_col: str, value_col: st
     base = df.filter(F.col(date_col).isNotNull() & F.col(category_col).isNotNull()) \
              .withColumn(date, to_month(date_col))
     out = base.groupBy(*keys, date).pivot(category_col, values) \
-              .agg(F.sum(F.coalesce(F.col(value_col).cast("double"), F.lit(0.0))))
+              .agg(exact_sum(F.coalesce(F.col(value_col).cast("double"), F.lit(0.0)), scale))
     if names:
         out = out.withColumnsRenamed({str(v): n for v, n in zip(values, names)})
     return out

@@ -14,13 +14,14 @@ TARGET_CTE = (f"target AS (SELECT o_orderpriority AS series, {M_ORDER} AS date,
               f"WHERE o_orderdate IS NOT NULL GROUP BY 1, 2)")
 
 QTY_CTE = (f"qty AS (SELECT {M_SHIP} AS date, "
-           f"{S.pivot_sums('l_returnflag', 'l_quantity', RETURN_FLAGS, QTY_COLS)} "
+           f"{S.pivot_sums('l_returnflag', 'l_quantity', RETURN_FLAGS, QTY_COLS, 2)} "
            f"FROM lineitem WHERE l_shipdate IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY 1)")
 
-PRICE_CTES = (f"price_agg AS (SELECT {M_SHIP} AS date, avg(l_extendedprice) AS price_mean, "
-              f"avg(l_discount) AS discount_mean FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1), "
-              f"price AS (SELECT c.date, round(p.price_mean, 6) AS price_mean, "
-              f"round(p.discount_mean, 6) AS discount_mean FROM ({S.calendar('price_agg')}) c "
+PRICE_CTES = (f"price_agg AS (SELECT {M_SHIP} AS date, "
+              f"round(sum(l_extendedprice), 2) / count(l_extendedprice) AS price_mean, "
+              f"round(sum(l_discount), 2) / count(l_discount) AS discount_mean "
+              f"FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1), "
+              f"price AS (SELECT c.date, p.price_mean, p.discount_mean FROM ({S.calendar('price_agg')}) c "
               f"LEFT JOIN price_agg p ON c.date = p.date)")
 
 REV_CTE = (f"rev AS (SELECT {M_ORDER} AS date, "

@@ -51,19 +51,17 @@ def demand_target(orders: DataFrame) -> DataFrame:
 
 def qty_by_flag(lineitem: DataFrame) -> DataFrame:
     return monthly_pivot(lineitem, "l_shipdate", "l_returnflag", "l_quantity",
-                         RETURN_FLAGS, names=QTY_COLS)
+                         RETURN_FLAGS, names=QTY_COLS, scale=2)
 
 
 def price_means(lineitem: DataFrame) -> DataFrame:
-    m = monthly_mean(lineitem, "l_shipdate", ["l_extendedprice", "l_discount"],
-                     out_names=PRICE_COLS)
-    return m.withColumns({c: F.round(c, 6) for c in PRICE_COLS})
+    return monthly_mean(lineitem, "l_shipdate", ["l_extendedprice", "l_discount"],
+                        out_names=PRICE_COLS, scale=2)
 
 
 def revenue_by_priority(orders: DataFrame) -> DataFrame:
-    p = monthly_pivot(orders, "o_orderdate", "o_orderpriority", "o_totalprice",
-                      PRIORITIES, names=PRIORITY_COLS)
-    return p.withColumns({c: F.round(c, 2) for c in PRIORITY_COLS})
+    return monthly_pivot(orders, "o_orderdate", "o_orderpriority", "o_totalprice",
+                         PRIORITIES, names=PRIORITY_COLS, scale=2)
 
 
 def order_counts(orders: DataFrame) -> DataFrame:
