@@ -52,3 +52,36 @@ def panel_ctes(how: str = "LEFT", fill: bool = True) -> str:
 
 
 __all__ = ["panel_ctes", "PRICE_COLS", "QTY_COLS"]
+
+
+def _w(frame: str = "") -> str:
+    return S.win(["series"], frame=frame)
+
+
+def features_select(p, extra_round: bool = True) -> str:
+    """SELECT list (after ``*``) that builds the feature columns over ``master``."""
+    parts = [f"lag({p.target}, {k}) OVER {_w()} AS {p.target}_lag_{k}" for k in p.target_lags]
+    parts += [f"lag({c}, {k}) OVER {_w()} AS {c}_lag_{k}" for c in p.macro_cols for k in p.macro_lags]
+    for w in p.windows:
+        fr = f"ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING"
+        parts.append(f"CASE WHEN count({p.target}) OVER {_w(fr)} = {w} "
+                     f"THEN avg({p.target}) OVER {_w(fr)} END AS {p.target}_ma{w}")
+    parts.append("sin(2 * pi() * month(date) / 12.0) AS month_sin")
+    parts.append("cos(2 * pi() * month(date) / 12.0) AS month_cos")
+    parts.append(f"CAST(row_number() OVER {_w()} - 1 AS INTEGER) AS trend")
+    return ", ".join(parts)
+
+
+def feature_names(p) -> list[str]:
+    names = [f"{p.target}_lag_{k}" for k in p.target_lags]
+    names += [f"{c}_lag_{k}" for c in p.macro_cols for k in p.macro_lags]
+    names += [f"{p.target}_ma{w}" for w in p.windows]
+    return names + ["month_sin", "month_cos", "trend"]
+
+
+def features_cte(p) -> str:
+    """``feat_raw`` (no NULL drop) and ``feat`` (NULL rows dropped) on top of ``master``."""
+    allc = ["series", "date", "demand"] + list(FEATURE_COLS) + feature_names(p)
+    notnull = " AND ".join(f"{c} IS NOT NULL" for c in allc)
+    return (f"feat_raw AS (SELECT *, {features_select(p)} FROM master), "
+            f"feat AS (SELECT * FROM feat_raw WHERE {notnull})")
