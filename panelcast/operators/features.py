@@ -82,7 +82,7 @@ def collinear_columns(df: DataFrame, target: str, threshold: float,
     cols = numeric_columns(df, exclude=[target] + list(exclude or []))
     cm = correlation_matrix(df, cols, upper_only=True)
     return (cm.filter(F.abs(F.col("corr")) > F.lit(threshold))
-              .groupBy(F.col("col_j").alias("column"), F.col("pos_j").alias("position")).agg()
+              .select(F.col("col_j").alias("column"), F.col("pos_j").alias("position")).distinct()
               .orderBy("position").select("column"))
 
 

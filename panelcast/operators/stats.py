@@ -51,18 +51,37 @@ def _stack(wide: DataFrame, names: list[str], keys: list[str], label_cols: list[
     return wide.select(*keys, F.explode(F.array(*structs)).alias("_s")).select(*keys, "_s.*")
 
 
+def pair_moments(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]],
+                 keys: list[str] | None = None) -> DataFrame:
+    """Pearson r for the given column-index pairs, one aggregate over a long form.
+
+    Each row becomes one (pos_i, pos_j, x, y) entry per pair through a
+    higher-order ``transform`` over a literal pair list (small generated code
+    whatever the number of pairs); rows where either side is NULL are dropped
+    (pairwise-complete), then ``groupBy(keys, pair)`` with map-side partial
+    aggregation. Output: (keys, pos_i, pos_j, col_i, col_j, corr)."""
+    keys = list(keys or [])
+    vals = df.select(*keys, F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("_v"))
+    prs = F.arrays_zip(F.lit([i for i, _ in pairs]).alias("i"), F.lit([j for _, j in pairs]).alias("j"))
+    long = vals.select(*keys, F.inline(F.transform(prs, lambda p: F.struct(
+        p["i"].alias("pos_i"), p["j"].alias("pos_j"),
+        F.element_at("_v", p["i"] + 1).alias("x"), F.element_at("_v", p["j"] + 1).alias("y")))))
+    long = long.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    names = F.lit(list(cols))
+    out = long.groupBy(*keys, "pos_i", "pos_j").agg(
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("corr"))
+    return out.select(*keys, F.element_at(names, F.col("pos_i") + 1).alias("col_i"),
+                      F.element_at(names, F.col("pos_j") + 1).alias("col_j"),
+                      "pos_i", "pos_j", "corr")
+
+
 def correlation_matrix(df: DataFrame, cols: list[str], keys: list[str] | None = None,
                        upper_only: bool = False) -> DataFrame:
-    """Long correlation matrix ``(keys, col_i, col_j, corr)``; ``i < j`` pairs when upper_only.
+    """Long correlation matrix ``(keys, col_i, col_j, pos_i, pos_j, corr)``.
 
-    ``i``/``j`` are positions in ``cols`` (kept as ``pos_i``/``pos_j``)."""
+    ``pos_*`` are positions in ``cols``; ``upper_only`` keeps ``i < j``."""
     keys = list(keys or [])
-    pairs = list(combinations(range(len(cols)), 2))
-    exprs = [(f"_c{i}_{j}", pair_corr(cols[i], cols[j])) for i, j in pairs]
-    wide = _agg_chunks(df, exprs, keys)
-    labels = [(cols[i], cols[j], i, j) for i, j in pairs]
-    long = _stack(wide, [n for n, _ in exprs], keys, ["col_i", "col_j", "pos_i", "pos_j"],
-                  labels, "corr")
+    long = pair_moments(df, cols, list(combinations(range(len(cols)), 2)), keys)
     if upper_only:
         return long
     mirrored = long.select(*keys, F.col("col_j").alias("col_i"), F.col("col_i").alias("col_j"),
@@ -72,12 +91,13 @@ def correlation_matrix(df: DataFrame, cols: list[str], keys: list[str] | None =
 
 def corr_with_target(df: DataFrame, target: str, features: list[str],
                      keys: list[str] | None = None) -> DataFrame:
-    """``(keys, feature, corr_abs)`` sorted by |r| descending (NULL r kept, sorted last)."""
+    """``(keys, feature, corr_abs)`` sorted by |r| descending."""
     keys = list(keys or [])
-    exprs = [(f"_t{i}", F.abs(pair_corr(f, target))) for i, f in enumerate(features)]
-    wide = _agg_chunks(df, exprs, keys)
-    long = _stack(wide, [n for n, _ in exprs], keys, ["feature"], [(f,) for f in features], "corr_abs")
-    return long.orderBy(*keys, F.col("corr_abs").desc_nulls_last())
+    cols = list(features) + [target]
+    t = len(features)
+    long = pair_moments(df, cols, [(i, t) for i in range(t)], keys)
+    return long.select(*keys, F.col("col_i").alias("feature"), F.abs("corr").alias("corr_abs")) \
+               .orderBy(*keys, F.col("corr_abs").desc_nulls_last())
 
 
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -30,7 +30,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "panelcast") -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
-        builder = builder.master(master)
+        # local runs: the driver JVM is the only executor
+        builder = builder.master(master).config("spark.driver.memory", "16g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SCALE_CONF.items():
