@@ -1 +1,320 @@
-"""Registered queries."""
+"""Registered queries: sources, landed-grid decoding, sinks and tables.
+
+Each query first lands a raw artefact derived from the driver tables (see
+``sources.landing``) in the shared scratch folder, then runs the decoder on it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+from panelcast import sinks as K
+from panelcast.functions import scalars as X
+from panelcast.operators import clean as C
+from panelcast.operators import grid as G
+from panelcast.sources import files as FS
+from panelcast.sources import landing as L
+from panelcast.plans import panels as P
+from panelcast.plans import sqlgen as S
+from panelcast.plans.oracle_panels import M_ORDER, M_SHIP, panel_ctes
+from panelcast.plans.registry import register
+from panelcast.session import scratch_path
+
+STATUS_KEYWORDS = [f"Status {s}" for s in P.ORDER_STATUSES]
+
+
+def _performance_grid(spark, sf_dir):
+    path, n = L.land_performance_sheet(spark, P.load(spark, sf_dir, "orders"))
+    return FS.scan_landed_grid(spark, path, n)
+
+
+@register("scan_landed_grid")
+def scan_landed_grid_q(spark, sf_dir):
+    return _performance_grid(spark, sf_dir)
+
+
+@register("grid_header_locate")
+def grid_header_locate_q(spark, sf_dir):
+    return G.grid_header_locate(_performance_grid(spark, sf_dir), L.SPEC_WORDS)
+
+
+_CAL_SQL = f"""WITH m AS (SELECT {M_ORDER} AS date FROM orders WHERE o_orderdate IS NOT NULL),
+cal AS ({S.calendar('m')})"""
+
+
+@register("header_ffill", sql=_CAL_SQL + """
+SELECT CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS col_idx, date FROM cal""")
+def header_ffill_q(spark, sf_dir):
+    g = _performance_grid(spark, sf_dir)
+    located = G.grid_header_locate(g, L.SPEC_WORDS)
+    return G.header_map(g, located).select("col_idx", "date")
+
+
+_LABELS_SQL = f"""
+rows AS (SELECT DISTINCT '{L.NO_CATEGORY}' AS category, '{L.MEMO_LABEL}' AS spec FROM orders
+  UNION ALL SELECT DISTINCT 'Status ' || o_orderstatus || ' (total)', 'Status ' || o_orderstatus || ' (total)' FROM orders
+  UNION ALL SELECT DISTINCT 'Status ' || o_orderstatus || ' (total)', o_orderpriority FROM orders)"""
+
+
+@register("category_ffill", sql="WITH " + _LABELS_SQL + " SELECT category, spec FROM rows")
+def category_ffill_q(spark, sf_dir):
+    g = _performance_grid(spark, sf_dir)
+    located = G.grid_header_locate(g, L.SPEC_WORDS)
+    rows = g.join(located.select("file", "month_row"), "file") \
+            .filter((F.col("row_idx") > F.col("month_row")) & F.col("col_0").isNotNull()) \
+            .select("file", "row_idx", F.col("col_0").alias("label"))
+    out = G.category_ffill(rows, "label", STATUS_KEYWORDS, L.NO_CATEGORY)
+    return out.select("category", F.trim("label").alias("spec"))
+
+
+@register("hierarchical_grid_to_long", sql=_CAL_SQL + ", " + _LABELS_SQL + f""",
+vals AS (
+  SELECT '{L.NO_CATEGORY}' AS category, '{L.MEMO_LABEL}' AS spec, {M_ORDER} AS date, round(sum(o_totalprice), 2) AS v
+  FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 3
+  UNION ALL SELECT 'Status ' || o_orderstatus || ' (total)', 'Status ' || o_orderstatus || ' (total)', {M_ORDER},
+         round(sum(o_totalprice), 2) FROM orders WHERE o_orderdate IS NOT NULL GROUP BY o_orderstatus, 3
+  UNION ALL SELECT 'Status ' || o_orderstatus || ' (total)', o_orderpriority, {M_ORDER}, round(sum(o_totalprice), 2)
+  FROM orders WHERE o_orderdate IS NOT NULL GROUP BY o_orderstatus, o_orderpriority, 3)
+SELECT r.category, r.spec, c.date,
+       CASE WHEN r.spec = '{L.MEMO_LABEL}' AND c.date = (SELECT min(date) FROM cal) THEN NULL ELSE v.v END AS value
+FROM rows r JOIN cal c ON TRUE
+LEFT JOIN vals v ON v.category = r.category AND v.spec = r.spec AND v.date = c.date""")
+def hierarchical_grid_to_long_q(spark, sf_dir):
+    out = G.hierarchical_grid_to_long(_performance_grid(spark, sf_dir), L.SPEC_WORDS,
+                                      STATUS_KEYWORDS, L.NO_CATEGORY)
+    return out.drop("file")
+
+
+# -- vehicles sheet -------------------------------------------------------------
+
+def _vehicle_grid(spark, sf_dir):
+    path, n = L.land_vehicle_sheet(spark, P.load(spark, sf_dir, "lineitem"), P.RETURN_FLAGS)
+    return FS.scan_landed_grid(spark, path, n)
+
+
+_VEH_COLS = [f"{f}_{s}" for f in P.RETURN_FLAGS for s in L.VEHICLE_VARIABLES]
+
+
+def _veh_sql(value_expr_fmt: str) -> str:
+    parts = [value_expr_fmt.format(
+        e=f"round(sum(CASE WHEN l_returnflag = '{f}' AND l_linestatus = '{s}' THEN l_quantity END), 2)",
+        n=f"{f}_{s}") for f in P.RETURN_FLAGS for s in L.VEHICLE_VARIABLES]
+    return ", ".join(parts)
+
+
+@register("scan_skip_rows", sql=f"""
+SELECT strftime({M_SHIP}, '%Y-%m-%d') AS date_text,
+       round(sum(CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN l_quantity END), 2) AS a_f
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1""")
+def scan_skip_rows_q(spark, sf_dir):
+    rows = G.skip_rows(_vehicle_grid(spark, sf_dir), 3)
+    return rows.select(F.col("col_0").alias("date_text"), X.numeric_coerce("col_1").alias("a_f"))
+
+
+@register("block_header_rename", sql=f"""
+SELECT {M_SHIP} AS Date, {_veh_sql('{e} AS {n}')}
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1""")
+def block_header_rename_q(spark, sf_dir):
+    named = G.block_header_rename(_vehicle_grid(spark, sf_dir), 3, L.VEHICLE_VARIABLES)
+    return named.select(X.to_date("Date").alias("Date"),
+                        *[X.numeric_coerce(c).alias(c) for c in _VEH_COLS])
+
+
+@register("vehicle_total", sql=f"""
+SELECT {M_SHIP} AS Date, {', '.join(f"round(sum(CASE WHEN l_returnflag = '{f}' AND l_linestatus = 'F' THEN l_quantity END), 2) AS {f}_F" for f in P.RETURN_FLAGS)},
+       round({' + '.join(f"coalesce(round(sum(CASE WHEN l_returnflag = '{f}' AND l_linestatus = 'F' THEN l_quantity END), 2), 0)" for f in P.RETURN_FLAGS)}, 2) AS total_f
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1""")
+def vehicle_total_q(spark, sf_dir):
+    """The vehicles pipeline end to end: rename, pick one variable by name, row total."""
+    named = G.block_header_rename(_vehicle_grid(spark, sf_dir), 3, L.VEHICLE_VARIABLES)
+    typed = named.select(X.to_date("Date").alias("Date"), *[X.numeric_coerce(c).alias(c) for c in _VEH_COLS])
+    picked = C.select_by_name_match(typed, "_F", keep=["Date"])
+    cols = [c for c in picked.columns if c != "Date"]
+    out = C.row_sum_skip_null(picked, cols, "total_f")
+    return out.withColumn("total_f", F.round("total_f", 2))
+
+
+# -- region responses ---------------------------------------------------------------
+
+def _region_grid(spark, sf_dir):
+    rows = L.region_response_rows(*(P.load(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region")))
+    paths, n = L.land_region_responses(spark, rows)
+    return FS.region_union_scan(spark, paths, n)
+
+
+@register("region_union_scan")
+def region_union_scan_q(spark, sf_dir):
+    return _region_grid(spark, sf_dir)
+
+
+@register("promote_header")
+def promote_header_q(spark, sf_dir):
+    return G.promote_header(_region_grid(spark, sf_dir))
+
+
+_REGION_DATA_SQL = f"""
+WITH om AS (SELECT o_custkey, o_orderstatus, {M_ORDER} AS month, sum(o_totalprice) AS rev, count(*) AS cnt
+            FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, 3),
+agg AS (SELECT r.r_regionkey, o_orderstatus, month, round(sum(rev), 2) AS revenue, CAST(sum(cnt) AS DOUBLE) AS orders
+        FROM om JOIN customer c ON om.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+        JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY 1, 2, 3),
+lg AS (SELECT r_regionkey, o_orderstatus, month, 'revenue' AS variable, revenue AS v FROM agg
+       UNION ALL SELECT r_regionkey, o_orderstatus, month, 'orders', orders FROM agg)
+SELECT CAST(r_regionkey AS INTEGER) AS region_code, month, variable, o_orderstatus AS section,
+       CASE WHEN o_orderstatus = 'P' AND month(month) IN (1, 12) THEN NULL ELSE v END AS value FROM lg"""
+
+
+def _region_typed(spark, sf_dir):
+    named = G.promote_header(_region_grid(spark, sf_dir))
+    clean = C.repeated_header_filter(named, L.REGION_LABELS[0], L.REGION_LABELS[0])
+    return clean.select(F.col(f"`{L.REGION_LABELS[0]}`").cast("int").alias("region_code"),
+                        X.parse_yyyymm(F.col(f"`{L.REGION_LABELS[5]}`")).alias("month"),
+                        F.col(f"`{L.REGION_LABELS[7]}`").alias("variable"),
+                        F.col(f"`{L.REGION_LABELS[8]}`").alias("section"),
+                        X.parse_missing_marker(F.col(f"`{L.REGION_LABELS[4]}`")).alias("value"))
+
+
+@register("repeated_header_filter", sql=_REGION_DATA_SQL)
+def repeated_header_filter_q(spark, sf_dir):
+    return _region_typed(spark, sf_dir)
+
+
+@register("region_monthly_sum", sql=f"""
+WITH base AS ({_REGION_DATA_SQL}),
+agg AS (SELECT region_code, month AS date, sum(value) AS total FROM base WHERE variable = 'orders' GROUP BY 1, 2),
+cal AS ({S.calendar('agg', ['region_code'])})
+SELECT c.region_code, c.date, coalesce(a.total, 0) AS total
+FROM cal c LEFT JOIN agg a ON c.region_code = a.region_code AND c.date = a.date""")
+def region_monthly_sum_q(spark, sf_dir):
+    """Per-region pipeline: typed responses, one variable, monthly sum over the calendar."""
+    from panelcast.operators.monthly import monthly_sum
+    t = C.variable_filter(_region_typed(spark, sf_dir), "variable", "orders")
+    return monthly_sum(t, "month", "value", keys=["region_code"], out_names=["total"])
+
+
+# -- series extracts ----------------------------------------------------------------
+# Landed long extract (code, date, value): daily revenue per priority, code = its rank.
+_CODES = {name: i + 1 for i, name in enumerate(P.PRIORITIES)}
+_PICK = {"urgent": 1, "unspecified": 4}
+
+
+def _series_long(spark, sf_dir):
+    o = P.load(spark, sf_dir, "orders")
+    code = F.element_at(F.create_map(*[x for k, v in _CODES.items() for x in (F.lit(k), F.lit(v))]),
+                        F.col("o_orderpriority"))
+    return o.groupBy(code.alias("code"), F.to_date("o_orderdate").alias("date")).agg(
+        F.round(F.sum("o_totalprice"), 2).alias("value"))
+
+
+def series_to_wide(long, picks: dict[str, int]):
+    """Named series by code -> one column per series by date."""
+    names = F.create_map(*[x for k, v in picks.items() for x in (F.lit(v), F.lit(k))])
+    sel = long.filter(F.col("code").isin(*picks.values())).withColumn("name", F.element_at(names, F.col("code")))
+    return sel.groupBy("date").pivot("name", list(picks)).agg(F.max("value"))
+
+
+_CODE_SQL = "CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _CODES.items()) + " END"
+
+
+@register("series_to_wide", sql=f"""
+WITH lg AS (SELECT {_CODE_SQL} AS code, CAST(o_orderdate AS DATE) AS date, round(sum(o_totalprice), 2) AS value
+            FROM orders GROUP BY 1, 2)
+SELECT date, max(CASE WHEN code = 1 THEN value END) AS urgent, max(CASE WHEN code = 4 THEN value END) AS unspecified
+FROM lg WHERE code IN (1, 4) GROUP BY date""")
+def series_to_wide_q(spark, sf_dir):
+    return series_to_wide(_series_long(spark, sf_dir), _PICK)
+
+
+_META = ["CODE", "RAW DATE", "DAY", "MONTH", "YEAR"]
+
+
+@register("series_rename_scan", sql="""
+SELECT CAST(o_orderdate AS DATE) AS Date, round(sum(o_totalprice), 2) AS revenue_daily FROM orders
+WHERE o_orderpriority = '1-URGENT' GROUP BY 1""")
+def series_rename_scan_q(spark, sf_dir):
+    # raw extract shape: DATE, CODE, RAW DATE, DAY, MONTH, YEAR, VALUE (<unit>)
+    lg = _series_long(spark, sf_dir).filter(F.col("code") == 1)
+    raw = lg.select(F.col("date").alias("DATE"), F.col("code").cast("string").alias("CODE"),
+                    F.date_format("date", "yyyy-MM-dd").alias("RAW DATE"), F.dayofmonth("date").alias("DAY"),
+                    F.month("date").alias("MONTH"), F.year("date").alias("YEAR"),
+                    F.col("value").alias("VALUE (BRL)"))
+    out = C.drop_if_present(raw, _META)
+    return C.rename_map(out, {"DATE": "Date", "VALUE (BRL)": "revenue_daily"})
+
+
+@register("catalog_search", sql="SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'green')")
+def catalog_search_q(spark, sf_dir):
+    p = P.load(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return p.filter(F.col("p_name").contains("green"))
+
+
+_ENC_SCHEMA = StructType([StructField(L.ENCODED_NAMES[0], LongType()), StructField(L.ENCODED_NAMES[1], StringType()),
+                          StructField(L.ENCODED_NAMES[2], IntegerType()), StructField(L.ENCODED_NAMES[3], DoubleType()),
+                          StructField(L.ENCODED_NAMES[4], StringType())])
+
+
+@register("scan_csv_encoded", sql="SELECT " + ", ".join(
+    f'{c} AS "{n}"' for c, n in zip(["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+                                   L.ENCODED_NAMES)) + " FROM customer")
+def scan_csv_encoded_q(spark, sf_dir):
+    path = L.land_encoded_csv(spark, P.load(spark, sf_dir, "customer"))
+    return FS.scan_csv_encoded(spark, path, _ENC_SCHEMA)
+
+
+@register("latest_snapshot", sql="""
+SELECT * FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""")
+def latest_snapshot_q(spark, sf_dir):
+    base = L.land_snapshots(spark, P.load(spark, sf_dir, "orders"))
+    return FS.latest_snapshot(spark, f"{base}/snapshot=*")
+
+
+@register("last_modified")
+def last_modified_q(spark, sf_dir):
+    base = L.land_snapshots(spark, P.load(spark, sf_dir, "orders"))
+    return FS.last_modified(base, spark)
+
+
+# -- tables and sinks -------------------------------------------------------------
+
+def _saved_master(spark, sf_dir, table="master_panel"):
+    name = K.save_table(P.master_panel(spark, sf_dir), "gold", table,
+                        path=scratch_path(spark, f"gold-{table}"))
+    return name
+
+
+@register("save_table")
+def save_table_q(spark, sf_dir):
+    return spark.table(_saved_master(spark, sf_dir))
+
+
+@register("read_table", sql=panel_ctes() + " SELECT * FROM master")
+def read_table_q(spark, sf_dir):
+    _saved_master(spark, sf_dir)
+    return K.read_table(spark, "gold", "master_panel", order_by="date")
+
+
+@register("load_master", sql=panel_ctes() + " SELECT * FROM master")
+def load_master_q(spark, sf_dir):
+    _saved_master(spark, sf_dir)
+    return K.load_master(spark)
+
+
+@register("table_last_modified")
+def table_last_modified_q(spark, sf_dir):
+    _saved_master(spark, sf_dir)
+    return K.table_last_modified(spark, "gold", "master_panel")
+
+
+@register("normalise_for_write", sql="""
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS o_totalprice FROM orders""")
+def normalise_for_write_q(spark, sf_dir):
+    # a landed extract where missing prices arrived as NaN (status P by rule)
+    o = P.load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey",
+        F.when(F.col("o_orderstatus") == "P", F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+    return K.normalise_for_write(o, string_cols=["o_custkey"])
+
+
+_ = (M_SHIP, S)
