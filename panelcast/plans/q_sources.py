@@ -243,10 +243,10 @@ def series_rename_scan_q(spark, sf_dir):
     return C.rename_map(out, {"DATE": "Date", "VALUE (BRL)": "revenue_daily"})
 
 
-@register("catalog_search", sql="SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'green')")
+@register("catalog_search", sql="SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'gear')")
 def catalog_search_q(spark, sf_dir):
     p = P.load(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return p.filter(F.col("p_name").contains("green"))
+    return p.filter(F.col("p_name").contains("gear"))
 
 
 _ENC_SCHEMA = StructType([StructField(L.ENCODED_NAMES[0], LongType()), StructField(L.ENCODED_NAMES[1], StringType()),
