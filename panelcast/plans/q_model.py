@@ -1 +1,140 @@
-"""Registered queries."""
+"""Registered queries: fitted models, search, folds, importances, forecasts, sessions.
+
+These are model fits, so they are checked by rows (and by the tests), not by
+SQL. Fit sizes are kept small (few trees, few trials) so that they run at the
+check scale; the plans are the same at any size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelcast.operators import model as MD
+from panelcast.operators import sarima as SA
+from panelcast.operators.forecast_table import error_band
+from panelcast.plans import panels as P
+from panelcast.plans import training as T
+from panelcast.plans.registry import register
+
+RP = T.RunParams()
+
+
+def _trained(spark, sf_dir, **kw):
+    return T.train(spark, sf_dir, RP, **kw)
+
+
+@register("fit_boosted_trees")
+def fit_boosted_trees_q(spark, sf_dir):
+    return _trained(spark, sf_dir, with_cv=False, with_search=False).predictions
+
+
+@register("gbt_metrics")
+def gbt_metrics_q(spark, sf_dir):
+    return _trained(spark, sf_dir, with_cv=False, with_search=False).metrics
+
+
+@register("hyperparameter_search")
+def hyperparameter_search_q(spark, sf_dir):
+    df, cols = T.prepared_frame(spark, sf_dir, RP)
+    trials, _ = MD.hyperparameter_search(df, T.spec_for(cols, "w_train", RP), RP.space, RP.n_trials, seed=RP.seed)
+    return trials
+
+
+@register("walk_forward_cv")
+def walk_forward_cv_q(spark, sf_dir):
+    return _trained(spark, sf_dir, with_cv=True, with_search=False).cv
+
+
+@register("feature_importance")
+def feature_importance_q(spark, sf_dir):
+    r = _trained(spark, sf_dir, with_cv=False, with_search=False)
+    return MD.feature_importance(r.model, r.feature_cols, spark)
+
+
+@register("top_k_importance")
+def top_k_importance_q(spark, sf_dir):
+    r = _trained(spark, sf_dir, with_cv=False, with_search=False)
+    imp = MD.feature_importance(r.model, r.feature_cols, spark)
+    return imp.orderBy(F.col("importance").desc(), "feature").limit(5)
+
+
+@register("permutation_importance")
+def permutation_importance_q(spark, sf_dir):
+    df, cols = T.prepared_frame(spark, sf_dir, RP)
+    spec = T.spec_for(cols, "w_train", RP)
+    model = MD.fit_boosted_trees(df.filter(F.col("split") == "train"), spec, RP.base_trees)
+    imp, _kept = MD.permutation_importance(model, df.filter(F.col("split") == "val"), spec, repeats=5,
+                                           protected=T.PROTECTED)
+    return imp
+
+
+@register("recursive_forecast")
+def recursive_forecast_q(spark, sf_dir):
+    r = _trained(spark, sf_dir, with_cv=False, with_search=False)
+    return T.forecast(r, RP)
+
+
+@register("model_error_band")
+def model_error_band_q(spark, sf_dir):
+    r = _trained(spark, sf_dir, with_cv=False, with_search=False)
+    fc = T.forecast(r, RP)
+    mae = r.predictions.filter(F.col("split") == "test").groupBy(*P.KEYS).agg(
+        F.avg(F.abs(F.col("y_real") - F.col("y_pred"))).alias("mae"))
+    return error_band(fc, mae, P.KEYS)
+
+
+def _arima_panel(spark, sf_dir):
+    """The filled master panel (every month, not only those past the lag warm-up), split by date."""
+    from panelcast.operators.splits import temporal_split
+    m = P.master_panel(spark, sf_dir).filter(F.col("date") < F.to_date(F.lit(T.UNTIL)))
+    return temporal_split(m, T.VAL_START, T.TEST_START)
+
+
+@register("seasonal_arima_grid")
+def seasonal_arima_grid_q(spark, sf_dir):
+    df = _arima_panel(spark, sf_dir)
+    grid = SA.arima_grid(df.filter(F.col("split") == "train"), P.KEYS, P.TARGET)
+    return SA.best_orders(grid, P.KEYS)
+
+
+@register("seasonal_arima_forecast")
+def seasonal_arima_forecast_q(spark, sf_dir):
+    df = _arima_panel(spark, sf_dir)
+    best = SA.best_orders(SA.arima_grid(df.filter(F.col("split") == "train"), P.KEYS, P.TARGET), P.KEYS)
+    return SA.arima_forecast(df, best, P.KEYS, P.TARGET)
+
+
+@register("seasonal_arimax_forecast")
+def seasonal_arimax_forecast_q(spark, sf_dir):
+    df = _arima_panel(spark, sf_dir)
+    best = SA.best_orders(SA.arima_grid(df.filter(F.col("split") == "train"), P.KEYS, P.TARGET), P.KEYS)
+    return SA.arima_forecast(df, best, P.KEYS, P.TARGET, exog=["qty_a", "price_mean"])
+
+
+def _session_base(spark):
+    return T.sessions_path(spark)
+
+
+@register("save_session")
+def save_session_q(spark, sf_dir):
+    base = _session_base(spark)
+    r = _trained(spark, sf_dir, with_cv=False, with_search=False)
+    T.save_session(spark, r, base)
+    return T.list_sessions(spark, base)
+
+
+@register("list_sessions")
+def list_sessions_q(spark, sf_dir):
+    base = _session_base(spark)
+    r = _trained(spark, sf_dir, with_cv=False, with_search=False)
+    T.save_session(spark, r, base)
+    T.save_session(spark, r, base)
+    return T.list_sessions(spark, base)
+
+
+@register("load_session")
+def load_session_q(spark, sf_dir):
+    base = _session_base(spark)
+    r = _trained(spark, sf_dir, with_cv=False, with_search=False)
+    sid = T.save_session(spark, r, base)
+    return T.load_session(spark, base, sid, sf_dir)
