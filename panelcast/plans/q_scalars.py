@@ -30,15 +30,16 @@ def parse_yyyymm_q(spark, sf_dir):
 
 
 # Marker text by rule: sizes ending in 0 report '-', sizes ending in 5 report '...'.
-_MARKER_SPARK = (F.when(F.col("p_size") % 10 == 0, F.lit("-"))
-                 .when(F.col("p_size") % 10 == 5, F.lit("..."))
-                 .otherwise(F.col("p_retailprice").cast("string")))
+def _marker_text():
+    return (F.when(F.col("p_size") % 10 == 0, F.lit("-"))
+            .when(F.col("p_size") % 10 == 5, F.lit("..."))
+            .otherwise(F.col("p_retailprice").cast("string")))
 
 
 @register("parse_missing_marker", sql="""
 SELECT p_partkey, CASE WHEN p_size % 10 = 0 OR p_size % 10 = 5 THEN NULL ELSE p_retailprice END AS value FROM part""")
 def parse_missing_marker_q(spark, sf_dir):
-    p = P.load(spark, sf_dir, "part").select("p_partkey", _MARKER_SPARK.alias("raw"))
+    p = P.load(spark, sf_dir, "part").select("p_partkey", _marker_text().alias("raw"))
     return p.select("p_partkey", X.parse_missing_marker("raw").alias("value"))
 
 

@@ -318,3 +318,43 @@ def normalise_for_write_q(spark, sf_dir):
 
 
 _ = (M_SHIP, S)
+
+
+# -- validation and export --------------------------------------------------------
+AS_OF = "2002-06-01"
+
+
+@register("validate_output", sql=panel_ctes() + f"""
+SELECT 'min_rows' AS "check", CAST(NULL AS VARCHAR) AS col, count(*) >= 60 AS passed FROM master
+UNION ALL SELECT 'not_all_null', 'demand', count(demand) > 0 FROM master
+UNION ALL SELECT 'not_all_null', 'qty_a', count(qty_a) > 0 FROM master
+UNION ALL SELECT 'present', 'absent_column', false
+UNION ALL SELECT 'recent', 'date', coalesce(max(date) >= CAST(DATE '{AS_OF}' - INTERVAL 6 MONTH AS DATE), false) FROM master""")
+def validate_output_q(spark, sf_dir):
+    from panelcast.operators.quality import validation_report
+    return validation_report(P.master_panel(spark, sf_dir), min_rows=60,
+                             required=["demand", "qty_a", "absent_column"], date_col="date",
+                             recent_months=6, as_of=AS_OF)
+
+
+_EXPORT_SCHEMA = "series string, h int, month string, prediction double, lower double, upper double"
+
+
+def _export_sql():
+    from panelcast.plans.q_stats import preds_sql
+    return preds_sql(["naive"]) + """,
+mae AS (SELECT series, avg(abs(y_real - y_pred)) AS mae FROM preds WHERE split = 'test' GROUP BY series),
+last AS (SELECT series, max(date) AS last_date, arg_max(demand / 1e6, date) AS prediction FROM mf GROUP BY series),
+hz AS (SELECT last.*, CAST(unnest(range(1, 13)) AS INTEGER) AS h FROM last)
+SELECT hz.series, hz.h, strftime(CAST(hz.last_date + to_months(hz.h) AS DATE), '%Y-%m') AS month,
+       round(prediction, 1) AS prediction, round(prediction - mae * sqrt(h), 1) AS lower,
+       round(prediction + mae * sqrt(h), 1) AS upper
+FROM hz LEFT JOIN mae ON hz.series = mae.series"""
+
+
+@register("export_table", sql=_export_sql())
+def export_table_q(spark, sf_dir):
+    from panelcast.plans.q_stats import error_band_q
+    path = scratch_path(spark, "export") + "/forecast_table"
+    K.export_table(error_band_q(spark, sf_dir), path)
+    return spark.read.schema(_EXPORT_SCHEMA).option("header", True).csv(path)
