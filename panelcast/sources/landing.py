@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.scalars import MONTH_ABBREVIATIONS, to_month
-from panelcast.session import scratch_path
+from panelcast.session import cut_lineage, scratch_path
 
 # --- fixed values: header texts of the landed layouts ---------------------------
 SPEC_HEADER = "Especificação / Specification"
@@ -63,8 +63,12 @@ def _write_sheet(sheet: DataFrame, path: str) -> str:
 
 def performance_cells(orders: DataFrame) -> tuple[DataFrame, int]:
     """Cells of the performance sheet built from order revenue by status and priority."""
-    o = orders.filter(F.col("o_orderdate").isNotNull()).select(
-        "o_orderstatus", "o_orderpriority", to_month("o_orderdate").alias("month"), "o_totalprice")
+    # one scan of the facts: status x priority x month totals (exact cents), checkpointed;
+    # the coarser rows of the sheet are sums of these
+    o = cut_lineage(
+        orders.filter(F.col("o_orderdate").isNotNull())
+        .groupBy("o_orderstatus", "o_orderpriority", to_month("o_orderdate").alias("month"))
+        .agg(F.round(F.sum("o_totalprice"), 2).alias("o_totalprice")))
     lo, hi = _month_bounds(o, "month")
     n_months = (hi.year - lo.year) * 12 + hi.month - lo.month + 1
     col_idx = (F.months_between("month", F.lit(lo)).cast("int") + 1).alias("col_idx")
@@ -131,7 +135,7 @@ def land_vehicle_sheet(spark: SparkSession, lineitem: DataFrame, flags: list[str
                              for x in (F.lit(f"{f}|{s}"), F.lit(c))])
     body = g.select("month", F.element_at(col_idx, F.concat_ws("|", "l_returnflag", "l_linestatus")).alias("col_idx"),
                     F.format_string("%.2f", "v").alias("text")).filter(F.col("col_idx").isNotNull())
-    months = li.select("month").distinct()
+    months = g.select("month").distinct()
     rows = months.withColumn("row_idx", F.row_number().over(Window.orderBy("month")) + F.lit(4))
     body = body.join(rows, "month").select("row_idx", "col_idx", "text")
     dates = rows.select("row_idx", F.lit(0).alias("col_idx"), F.date_format("month", "yyyy-MM-dd").alias("text"))
