@@ -161,18 +161,19 @@ _POS = ("CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1.0 - pow(0.5, 1
 
 
 @register("qq_points", sql=preds_sql(["naive"]) + f""",
-r AS (SELECT split, y_real - y_pred AS ordered,
-             row_number() OVER (PARTITION BY split ORDER BY y_real - y_pred) AS i,
-             count(*) OVER (PARTITION BY split) AS n FROM preds),
-pts AS (SELECT split, CAST(i AS INTEGER) AS i, ordered, {S.norm_ppf('(' + _POS + ')')} AS theoretical FROM r),
-fit AS (SELECT split, regr_slope(ordered, theoretical) AS slope, regr_intercept(ordered, theoretical) AS intercept
-        FROM pts GROUP BY split)
-SELECT pts.split, i, round(theoretical, 9) + 0.0 AS theoretical, round(ordered, 9) AS ordered,
+r AS (SELECT series, split, y_real - y_pred AS ordered,
+             row_number() OVER (PARTITION BY series, split ORDER BY y_real - y_pred) AS i,
+             count(*) OVER (PARTITION BY series, split) AS n FROM preds),
+pts AS (SELECT series, split, CAST(i AS INTEGER) AS i, ordered, {S.norm_ppf('(' + _POS + ')')} AS theoretical FROM r),
+fit AS (SELECT series, split, regr_slope(ordered, theoretical) AS slope,
+               regr_intercept(ordered, theoretical) AS intercept FROM pts GROUP BY series, split)
+SELECT pts.series, pts.split, i, round(theoretical, 9) + 0.0 AS theoretical, round(ordered, 9) AS ordered,
        round(slope, 6) AS slope, round(intercept, 6) + 0.0 AS intercept
-FROM pts JOIN fit ON pts.split = fit.split""")
+FROM pts JOIN fit ON pts.series = fit.series AND pts.split = fit.split""")
 def qq_points_q(spark, sf_dir):
-    out = ST.qq_points(_naive_resid(spark, sf_dir), "residual", group=["split"])
-    return out.select("split", "i", F.round("theoretical", 9).alias("theoretical"),
+    # one Q-Q plot per series and split: every window group is one series' months
+    out = ST.qq_points(_naive_resid(spark, sf_dir), "residual", group=["series", "split"])
+    return out.select("series", "split", "i", F.round("theoretical", 9).alias("theoretical"),
                       F.round("ordered", 9).alias("ordered"), F.round("slope", 6).alias("slope"),
                       F.round("intercept", 6).alias("intercept"))
 

@@ -1 +1,5 @@
-"""streaming."""
+"""Streaming.
+
+The reference has no streaming sources, watermarks or state: every write is a
+full refresh. Nothing is built here on purpose (see README, "Not built").
+"""
