@@ -315,3 +315,13 @@ def error_band_q(spark, sf_dir):
 
 
 _ = rounded_features
+
+
+@register("model_winners", sql=preds_sql() + f""", mc AS ({metrics_sql(['model', 'split'])})
+SELECT split, arg_min(model, mape) AS best_mape_model, arg_max(model, r2) AS best_r2_model FROM mc GROUP BY split""")
+def model_winners_q(spark, sf_dir):
+    """Winner per split by MAPE (lowest) and by R² (highest) over the comparison table."""
+    mc = _comparison(spark, sf_dir)
+    by_mape = ST.best_by(mc, "model", "mape", group=["split"]).select("split", F.col("best_low").alias("best_mape_model"))
+    by_r2 = ST.best_by(mc, "model", "r2", group=["split"]).select("split", F.col("best_high").alias("best_r2_model"))
+    return by_mape.join(by_r2, "split")
