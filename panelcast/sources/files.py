@@ -41,14 +41,24 @@ def scan_landed_grid(spark: SparkSession, path: str | list[str], n_cols: int) ->
     return df.select(_sheet_name().alias(FILE), *grid_schema(n_cols).fieldNames())
 
 
-def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet") -> DataFrame:
-    """Rows of the snapshot folder with the greatest name among those matching a glob.
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob, from the file system listing (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path) or []
+    return [st.getPath().toString() for st in found]
+
 
-    The choice is an aggregate over file metadata joined back by name; the data
-    of older snapshots is pruned by the join, not collected."""
-    df = spark.read.format(fmt).load(pattern).withColumn("_snap", _sheet_name())
-    newest = df.agg(F.max("_snap").alias("_snap"))
-    return df.join(F.broadcast(newest), "_snap", "left_semi").drop("_snap")
+def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet") -> DataFrame:
+    """Rows of the snapshot (file or folder) with the greatest name matching a glob.
+
+    The choice is made on the listing, so only the newest snapshot is read."""
+    paths = glob_paths(spark, pattern)
+    if not paths:
+        raise FileNotFoundError(f"no snapshot matches {pattern}")
+    newest = max(paths, key=lambda p: p.rstrip("/").rsplit("/", 1)[-1])
+    return spark.read.format(fmt).load(newest)
 
 
 def region_union_scan(spark: SparkSession, paths: list[str], n_cols: int) -> DataFrame:
