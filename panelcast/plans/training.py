@@ -47,10 +47,11 @@ FP = FE.FeatureParams()
 
 def prepared_frame(spark: SparkSession, sf_dir: str, rp: RunParams) -> tuple[DataFrame, list[str]]:
     """master -> collinearity drop -> features -> target-corr filter -> split -> weights."""
-    master = P.master_panel(spark, sf_dir)
+    # the gold table is read by three steps below: materialise it once
+    master = cut_lineage(P.master_panel(spark, sf_dir))
     master, _dropped = FE.drop_collinear(master, P.TARGET, rp.collinear_t, exclude=P.KEYS)
     feat = FE.feature_table(master, FP)
-    feat = feat.filter(F.col("date") < F.to_date(F.lit(UNTIL)))
+    feat = cut_lineage(feat.filter(F.col("date") < F.to_date(F.lit(UNTIL))))
     cands = [c for c in feat.columns if c not in P.KEYS + ["date", P.TARGET]]
     kept = FE.target_corr_table(feat, FP, TEST_START, cands).filter(F.col("corr_abs") >= rp.target_corr_t)
     feature_cols = [r["feature"] for r in kept.orderBy(F.col("corr_abs").desc(), "feature").collect()]
