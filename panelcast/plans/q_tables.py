@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelcast.operators.joins import inner_merge_chain
 from panelcast.plans import panels as P
 from panelcast.plans.oracle_panels import panel_ctes
+from panelcast.plans import sqlgen as S
 from panelcast.plans.registry import register
 
 
@@ -28,3 +29,20 @@ def inner_merge_chain_q(spark, sf_dir):
 @register("ffill_bfill", sql=panel_ctes() + " SELECT * FROM master")
 def ffill_bfill_q(spark, sf_dir):
     return P.master_panel(spark, sf_dir)
+
+
+_NATION_SQL = (panel_ctes(fill=False) + """,
+cm AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, round(sum(o_totalprice), 2) AS rev
+       FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2),
+nt AS (SELECT n.n_name AS nation, cm.date, round(sum(rev), 2) AS demand
+       FROM cm JOIN customer c ON cm.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+       GROUP BY 1, 2),
+nm AS (SELECT nt.nation, nt.date, nt.demand, """ + ", ".join(P.QTY_COLS + P.PRICE_COLS + P.PRIORITY_COLS) + """
+       FROM nt LEFT JOIN qty USING (date) LEFT JOIN price USING (date) LEFT JOIN rev USING (date))
+SELECT nation, date, demand, """ + ", ".join(
+    f"{S.ffill_bfill(c, ['nation'])} AS {c}" for c in P.QTY_COLS + P.PRICE_COLS + P.PRIORITY_COLS) + " FROM nm")
+
+
+@register("nation_panel", sql=_NATION_SQL)
+def nation_panel_q(spark, sf_dir):
+    return P.nation_panel(spark, sf_dir)
