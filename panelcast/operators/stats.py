@@ -84,9 +84,11 @@ def correlation_matrix(df: DataFrame, cols: list[str], keys: list[str] | None =
     long = pair_moments(df, cols, list(combinations(range(len(cols)), 2)), keys)
     if upper_only:
         return long
-    mirrored = long.select(*keys, F.col("col_j").alias("col_i"), F.col("col_i").alias("col_j"),
-                           F.col("pos_j").alias("pos_i"), F.col("pos_i").alias("pos_j"), "corr")
-    return long.unionByName(mirrored)
+    # both orientations from one pass (an explode, not a union that would recompute the input)
+    both = F.array(F.struct("col_i", "col_j", "pos_i", "pos_j", "corr"),
+                   F.struct(F.col("col_j").alias("col_i"), F.col("col_i").alias("col_j"),
+                            F.col("pos_j").alias("pos_i"), F.col("pos_i").alias("pos_j"), "corr"))
+    return long.select(*keys, F.inline(both))
 
 
 def corr_with_target(df: DataFrame, target: str, features: list[str],

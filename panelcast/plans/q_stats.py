@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from panelcast.operators import features as FE
 from panelcast.operators import stats as ST
 from panelcast.operators.forecast_table import error_band, freeze_last_row, horizon_rows
-from panelcast.operators.joins import union_all
 from panelcast.operators.splits import split_checks, temporal_split, walk_forward_folds
 from panelcast.plans import panels as P
 from panelcast.plans import sqlgen as S
@@ -40,11 +39,11 @@ def model_frame(spark, sf_dir):
 
 def baseline_predictions(spark, sf_dir, models=None):
     mf = model_frame(spark, sf_dir)
-    parts = [mf.select("series", "date", "split", F.lit(m).alias("model"),
-                       (F.col(FP.target) / F.lit(SCALE)).alias("y_real"),
-                       (F.col(col) / F.lit(SCALE)).alias("y_pred"))
-             for m, col in BASELINES.items() if models is None or m in models]
-    return union_all(parts)
+    # one row per (row, model) from a single pass over the frame
+    preds = F.array(*[F.struct(F.lit(m).alias("model"), (F.col(col) / F.lit(SCALE)).alias("y_pred"))
+                      for m, col in BASELINES.items() if models is None or m in models])
+    return mf.select("series", "date", "split", (F.col(FP.target) / F.lit(SCALE)).alias("y_real"),
+                     F.inline(preds)).select("series", "date", "split", "model", "y_real", "y_pred")
 
 
 # ------------------------------------------------------------------ SQL side
