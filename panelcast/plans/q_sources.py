@@ -143,12 +143,35 @@ def _region_grid(spark, sf_dir):
     return FS.region_union_scan(spark, paths, n)
 
 
-@register("region_union_scan")
+_RAW_REGION_SQL = f"""
+WITH om AS (SELECT o_custkey, o_orderstatus, {M_ORDER} AS month, sum(o_totalprice) AS rev, count(*) AS cnt
+            FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, 3),
+agg AS (SELECT r.r_regionkey, r.r_name, o_orderstatus, month, round(sum(rev), 2) AS revenue,
+               CAST(sum(cnt) AS DOUBLE) AS orders
+        FROM om JOIN customer c ON om.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+        JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY 1, 2, 3, 4),
+lg AS (SELECT r_regionkey, r_name, o_orderstatus, month, 'revenue' AS variable, revenue AS v FROM agg
+       UNION ALL SELECT r_regionkey, r_name, o_orderstatus, month, 'orders', orders FROM agg),
+data AS (SELECT 'r_regionkey=' || r_regionkey AS file,
+                CAST(row_number() OVER (PARTITION BY r_regionkey ORDER BY month, variable, o_orderstatus) AS INTEGER) AS row_idx,
+                CAST(r_regionkey AS VARCHAR) AS col_0, r_name AS col_1, '40' AS col_2, 'BRL' AS col_3,
+                CASE WHEN o_orderstatus = 'P' AND month(month) = 1 THEN '-'
+                     WHEN o_orderstatus = 'P' AND month(month) = 12 THEN '...' ELSE printf('%.2f', v) END AS col_4,
+                strftime(month, '%Y%m') AS col_5, strftime(month, '%B %Y') AS col_6, variable AS col_7,
+                o_orderstatus AS col_8 FROM lg),
+heads AS (SELECT 'r_regionkey=' || r_regionkey AS file, 0 AS row_idx, {', '.join(f"'{t}' AS col_{i}" for i, t in enumerate(L.REGION_LABELS))}
+          FROM region),
+raw AS (SELECT * FROM heads UNION ALL SELECT * FROM data)"""
+
+
+@register("region_union_scan", sql=_RAW_REGION_SQL + " SELECT * FROM raw")
 def region_union_scan_q(spark, sf_dir):
     return _region_grid(spark, sf_dir)
 
 
-@register("promote_header")
+@register("promote_header", sql=_RAW_REGION_SQL + " SELECT " + ", ".join(
+    f'col_{i} AS "{t}"' for i, t in enumerate(L.REGION_LABELS))
+    + " FROM raw WHERE NOT (file = (SELECT min(file) FROM raw) AND row_idx = 0)")
 def promote_header_q(spark, sf_dir):
     return G.promote_header(_region_grid(spark, sf_dir))
 

@@ -46,3 +46,11 @@ SELECT nation, date, demand, """ + ", ".join(
 @register("nation_panel", sql=_NATION_SQL)
 def nation_panel_q(spark, sf_dir):
     return P.nation_panel(spark, sf_dir)
+
+
+@register("gold_from_silver", sql=panel_ctes() + " SELECT * FROM master")
+def gold_from_silver_q(spark, sf_dir):
+    """The medallion build: validated silver tables, existence check, merge, fill, gold."""
+    from panelcast.plans.layers import build_gold, build_silver
+    build_silver(spark, sf_dir, as_of="2002-01-01")
+    return build_gold(spark, as_of="2002-01-01")
