@@ -27,3 +27,11 @@ def test_small_queries_run(spark, sf_small):
     q = E.queries()
     for name in ("monthly_sum", "feature_table", "hierarchical_grid_to_long", "repeated_header_filter"):
         assert q[name](spark, sf_small).count() >= 0
+
+
+def test_gold_build_requires_silver_tables(spark):
+    import pytest
+
+    from panelcast.operators.joins import require_tables
+    with pytest.raises(FileNotFoundError, match="silver.nope_a.*silver.nope_b"):
+        require_tables(spark, ["silver.nope_a", "silver.nope_b"])
