@@ -37,8 +37,9 @@ def _agg_chunks(df: DataFrame, exprs: list[tuple[str, Column]], keys: list[str])
         elif keys:
             out = out.join(part, keys, "inner")
         else:
-            # both sides are single-row aggregates: join on a constant key
-            out = out.withColumn("_one", F.lit(1)).join(part.withColumn("_one", F.lit(1)), "_one").drop("_one")
+            # both sides are single-row aggregates: join on a constant key, broadcast (1 row)
+            out = out.withColumn("_one", F.lit(1)).join(
+                F.broadcast(part.withColumn("_one", F.lit(1))), "_one").drop("_one")
     return out
 
 
@@ -166,7 +167,9 @@ def histogram(df: DataFrame, col: str, bins: int, group: list[str] | None = None
     bounds = (df.groupBy(*g) if g else df.groupBy()).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     jk = g if g else ["_one"]
     if not g:
-        bounds = bounds.withColumn("_one", F.lit(1))
+        # a global aggregate is exactly one row: broadcast it instead of shuffling
+        # every row to the single value of a constant join key
+        bounds = F.broadcast(bounds.withColumn("_one", F.lit(1)))
         df = df.withColumn("_one", F.lit(1))
     b = df.filter(x.isNotNull()).join(bounds, jk).select(
         *jk, F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(
@@ -250,7 +253,7 @@ def qq_points(df: DataFrame, value: str, group: list[str] | None = None) -> Data
         F.regr_intercept("ordered", "theoretical").alias("intercept"))
     if g:
         return pts.join(fit, g).select(*g, "i", "theoretical", "ordered", "slope", "intercept")
-    return pts.withColumn("_one", F.lit(1)).join(fit.withColumn("_one", F.lit(1)), "_one") \
+    return pts.withColumn("_one", F.lit(1)).join(F.broadcast(fit.withColumn("_one", F.lit(1))), "_one") \
               .select("i", "theoretical", "ordered", "slope", "intercept")
 
 
