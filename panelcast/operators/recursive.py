@@ -78,21 +78,24 @@ def step_features(state: DataFrame, h: int, feature_cols: list[str], target: str
 
 def recursive_forecast(model: PipelineModel, history: DataFrame, feature_cols: list[str], target: str,
                        keys: list[str], horizon: int, date: str = "date",
-                       checkpoint_every: int = 4) -> DataFrame:
-    """Forecast rows ``(keys, h, date, prediction)`` for h = 1..horizon."""
-    state = initial_state(history, feature_cols, target, keys, date)
-    outputs = []
+                       checkpoint_every: int = 6) -> DataFrame:
+    """Forecast rows ``(keys, h, date, prediction)`` for h = 1..horizon.
+
+    The predictions ride along in the state row (``preds``), so the steps form
+    one chain of projections over one row per series; the result is a single
+    ``posexplode`` at the end, not a union of per-step frames."""
+    state = initial_state(history, feature_cols, target, keys, date).withColumn(
+        "preds", F.array().cast("array<double>"))
+    carry = [c for c in state.columns if c not in keys]
     for h in range(1, horizon + 1):
-        feats = step_features(state, h, feature_cols, target)
-        scored = model.transform(feats).select(*keys, "buf", "last_date", "trend_base",
-                                               *[c for c in state.columns if c not in keys + ["buf", "last_date", "trend_base"]],
-                                               "date", F.col("y_pred").alias("prediction"))
-        outputs.append(scored.select(*keys, F.lit(h).alias("h"), "date", "prediction"))
-        state = scored.withColumn("buf", F.concat("buf", F.array("prediction"))).drop("date", "prediction")
+        scored = model.transform(step_features(state, h, feature_cols, target))
+        state = scored.select(*keys, *carry, F.col("y_pred").alias("_p")).withColumns({
+            "buf": F.concat("buf", F.array("_p")), "preds": F.concat("preds", F.array("_p"))}).drop("_p")
         if h % checkpoint_every == 0 and h < horizon:
             state = cut_lineage(state)
-            outputs = [cut_lineage(_union(outputs))]
-    return _union(outputs)
+    out = state.select(*keys, "last_date", F.posexplode("preds").alias("_i", "prediction"))
+    return out.select(*keys, (F.col("_i") + 1).alias("h"),
+                      F.add_months("last_date", F.col("_i") + 1).alias(date), "prediction")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

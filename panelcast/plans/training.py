@@ -1,8 +1,8 @@
 """End-to-end model plans on the demand panel: selection, search, folds, final fit,
 forecast, sessions.
 
-The prepared frame (features + split + recency weights) is checkpointed to the
-shared folder once, because every fit reads it again; after that each fit is
+The gold panel and the feature table are checkpointed to the shared folder
+once, because selection and every fit read them again; after that each fit is
 one MLlib job over the whole panel.
 """
 
@@ -63,7 +63,8 @@ def prepared_frame(spark: SparkSession, sf_dir: str, rp: RunParams) -> tuple[Dat
         "w_train": F.when(F.col("split") == "train", F.pow(lam, (F.row_number().over(w_desc) - 1).cast("double"))),
         "w_trainval": F.when(F.col("split") != "test", F.pow(lam, (F.row_number().over(w_tv) - 1).cast("double"))),
     })
-    return cut_lineage(df), feature_cols
+    # weights are two windows over the checkpointed features; MLlib caches its own input
+    return df, feature_cols
 
 
 def spec_for(feature_cols: list[str], weight: str, rp: RunParams) -> MD.TrainSpec:
