@@ -37,9 +37,6 @@ class FeatureParams:
         return f"{self.target}_ma{w}"
 
 
-CALENDAR_COLS = ["month_sin", "month_cos", "trend"]
-
-
 def feature_exprs(df: DataFrame, p: FeatureParams) -> dict:
     exprs = {}
     exprs.update(lag_exprs([p.target], p.target_lags, p.keys, p.date, name=p.target + "_lag_{k}"))

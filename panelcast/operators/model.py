@@ -109,10 +109,6 @@ def trees_used(model: PipelineModel) -> int:
     return len(model.stages[-1].trees)
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
-    return model.transform(df).select(*keep, "y_pred")
-
-
 def _mse(pred: DataFrame, label: str) -> float:
     r = pred.agg(F.avg((F.col(label) - F.col("y_pred")) ** 2).alias("m")).collect()[0]["m"]
     return float(r) if r is not None else float("nan")

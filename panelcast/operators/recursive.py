@@ -50,10 +50,13 @@ def initial_state(history: DataFrame, feature_cols: list[str], target: str, keys
     recent = ranked.filter(F.col("_age") <= depth)
     hist = F.array_sort(F.collect_list(F.struct(F.col(date).alias("d"), F.col(target).alias("v"))))
     last = F.max_by(F.struct(*[F.col(c) for c in ext]), F.col(date)) if ext else F.lit(None)
+    # the trend continues from the last observed trend value (it was numbered before
+    # the warm-up rows were dropped), else from the row count
+    trend_last = F.max("trend") if "trend" in history.columns else F.max("_n") - 1
     st = recent.groupBy(*keys).agg(
-        hist.alias("_h"), F.max(date).alias("last_date"), F.max("_n").alias("_n"), last.alias("_ext"))
+        hist.alias("_h"), F.max(date).alias("last_date"), trend_last.alias("_t"), last.alias("_ext"))
     st = st.select(*keys, F.transform("_h", lambda s: s["v"]).alias("buf"), "last_date",
-                   (F.col("_n") - 1).alias("trend_base"),
+                   F.col("_t").alias("trend_base"),
                    *[F.col(f"_ext.{c}").alias(c) for c in ext])
     return st
 

@@ -93,8 +93,3 @@ def top_k(df: DataFrame, score: str, k: int, descending: bool = True) -> DataFra
     order = F.col(score).desc() if descending else F.col(score).asc()
     return df.orderBy(order).limit(k)
 
-
-def running_min(df: DataFrame, value: str, order: str, out: str, keys=None) -> DataFrame:
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(order) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.min(value).over(w))

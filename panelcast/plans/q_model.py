@@ -54,8 +54,8 @@ def feature_importance_q(spark, sf_dir):
 @register("top_k_importance")
 def top_k_importance_q(spark, sf_dir):
     r = _trained(spark, sf_dir, with_cv=False, with_search=False)
-    imp = MD.feature_importance(r.model, r.feature_cols, spark)
-    return imp.orderBy(F.col("importance").desc(), "feature").limit(5)
+    from panelcast.operators.windows import top_k
+    return top_k(MD.feature_importance(r.model, r.feature_cols, spark), "importance", 5)
 
 
 @register("permutation_importance")

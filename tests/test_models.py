@@ -62,4 +62,14 @@ def test_gbt_panel_fit_and_recursive_forecast(spark):
     assert ext == []
     imp, kept = MD.permutation_importance(m1, feat.filter("split = 'val'"), spec, repeats=3,
                                           protected=["demand_lag_1"])
-    assert imp.count() == len(cols) and kept[0] == "demand_lag_1" or "demand_lag_1" in kept
+    assert imp.count() == len(cols) and "demand_lag_1" in kept
+
+
+def test_forecast_state_continues_trend(spark):
+    from panelcast.operators.recursive import initial_state, step_features
+    rows = [("s", dt.date(2020, m, 1), float(m), m + 11) for m in range(1, 7)]   # trend starts at 12
+    hist = spark.createDataFrame(rows, "series string, date date, demand double, trend int")
+    st = initial_state(hist, ["demand_lag_1", "demand_ma3", "trend"], "demand", ["series"])
+    r = step_features(st, 1, ["demand_lag_1", "demand_ma3", "trend"], "demand").collect()[0]
+    assert r["trend"] == 18 and r["demand_lag_1"] == 6.0 and r["demand_ma3"] == 5.0
+    assert r["date"] == dt.date(2020, 7, 1)
