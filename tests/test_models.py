@@ -73,3 +73,24 @@ def test_forecast_state_continues_trend(spark):
     r = step_features(st, 1, ["demand_lag_1", "demand_ma3", "trend"], "demand").collect()[0]
     assert r["trend"] == 18 and r["demand_lag_1"] == 6.0 and r["demand_ma3"] == 5.0
     assert r["date"] == dt.date(2020, 7, 1)
+
+
+def test_gbt_beats_naive_and_search_and_folds(spark):
+    from panelcast.operators.splits import walk_forward_folds
+    p = FeatureParams(target="demand", keys=["series"], macro_cols=[], target_lags=[1, 12], windows=[3])
+    feat = temporal_split(feature_table(seasonal_panel(spark), p), "2016-01-01", "2017-01-01")
+    feat = feat.withColumn("w", F.lit(1.0))
+    cols = ["demand_lag_1", "demand_lag_12", "demand_ma3", "month_sin", "month_cos", "trend"]
+    spec = MD.TrainSpec(feature_cols=cols, weight="w")
+    params = MD.TreeParams(max_iter=20, max_depth=3, step_size=0.3, subsampling_rate=1.0, feature_subset="all")
+    m = MD.fit_boosted_trees(feat.filter("split != 'test'"), spec, params)
+    test = m.transform(feat.filter("split = 'test'"))
+    err = test.agg(F.avg(F.abs(F.col("demand") - F.col("y_pred"))).alias("gbt"),
+                   F.avg(F.abs(F.col("demand") - F.col("demand_lag_1"))).alias("naive")).collect()[0]
+    assert err["gbt"] < err["naive"]
+    trials, best = MD.hyperparameter_search(feat, spec, MD.SearchSpace(max_iter=(3, 6)), 3, parallel=2)
+    t = trials.orderBy("trial").collect()
+    assert len(t) == 3 and all(a["best_so_far"] >= b["best_so_far"] for a, b in zip(t, t[1:]))
+    assert 1 <= best.max_iter <= 6
+    cv = MD.walk_forward_cv(walk_forward_folds(feat, 3, 6, ["series"]), spec, params, parallel=2)
+    assert cv.count() == 3 and cv.filter(F.col("mape").isNull()).count() == 0
