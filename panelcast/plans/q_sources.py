@@ -29,12 +29,52 @@ def _performance_grid(spark, sf_dir):
     return FS.scan_landed_grid(spark, path, n)
 
 
-@register("scan_landed_grid")
+def _sheet_sql() -> str:
+    """The landed performance sheet rebuilt in SQL (DuckDB ``PIVOT`` names the columns)."""
+    from panelcast.functions.scalars import MONTH_ABBREVIATIONS
+    pt = "[" + ", ".join(f"'{m}'" for m in MONTH_ABBREVIATIONS) + "]"
+    return f"""SELECT 'performance_sheet' AS file, * FROM (PIVOT (
+WITH agg AS (SELECT o_orderstatus, o_orderpriority, {M_ORDER} AS month, round(sum(o_totalprice), 2) AS v
+             FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, 3),
+b AS (SELECT min(month) AS lo, max(month) AS hi FROM agg),
+cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
+cal2 AS (SELECT month, CAST(row_number() OVER (ORDER BY month) AS INTEGER) AS col_idx FROM cal),
+vals AS (SELECT '{L.MEMO_LABEL}' AS label, 0 AS kind, '' AS grp, '' AS sub, month, round(sum(v), 2) AS v FROM agg GROUP BY month
+         UNION ALL SELECT 'Status ' || o_orderstatus || ' (total)', 1, o_orderstatus, '', month, round(sum(v), 2)
+                   FROM agg GROUP BY o_orderstatus, month
+         UNION ALL SELECT o_orderpriority, 2, o_orderstatus, o_orderpriority, month, v FROM agg),
+ks AS (SELECT DISTINCT label, kind, grp, sub FROM vals),
+lay0 AS (SELECT * FROM ks UNION ALL SELECT NULL, 3, grp, '' FROM ks WHERE kind = 1),
+lay AS (SELECT *, CAST(row_number() OVER (ORDER BY CASE WHEN kind = 0 THEN 0 ELSE 1 END, grp, kind, sub) + 2 AS INTEGER)
+                  AS row_idx FROM lay0),
+cells AS (
+  SELECT 0 AS row_idx, 0 AS col_idx, '{L.SHEET_TITLE}' AS text
+  UNION ALL SELECT 1, 0, '{L.SPEC_HEADER}'
+  UNION ALL SELECT 2, 0, NULL
+  UNION ALL SELECT 1, col_idx, CASE WHEN month(month) = 1 OR col_idx = 1 THEN CAST(year(month) AS VARCHAR) || '.0' END FROM cal2
+  UNION ALL SELECT 2, col_idx, upper({pt}[month(month)][1]) || {pt}[month(month)][2:] || chr(10) || strftime(month, '%b') FROM cal2
+  UNION ALL SELECT row_idx, 0, label FROM lay
+  UNION ALL SELECT l.row_idx, c.col_idx,
+         CASE WHEN v.kind = 0 AND v.month = (SELECT lo FROM b) THEN '{L.JUNK_CELL}' ELSE printf('%.2f', v.v) END
+  FROM vals v JOIN lay l ON v.kind = l.kind AND v.grp = l.grp AND v.sub = l.sub JOIN cal2 c ON v.month = c.month)
+SELECT * FROM cells) ON 'col_' || col_idx USING first(text) GROUP BY row_idx)"""
+
+
+@register("scan_landed_grid", sql=_sheet_sql())
 def scan_landed_grid_q(spark, sf_dir):
     return _performance_grid(spark, sf_dir)
 
 
-@register("grid_header_locate")
+@register("grid_header_locate", sql=f"""
+WITH sheet AS ({_sheet_sql()}),
+g AS (SELECT file, row_idx,
+             coalesce(contains(lower(col_0), 'especifica') AND contains(lower(col_0), 'specification'), false) AS spec,
+             coalesce(contains(lower(col_1), 'jan'), false) AS mon FROM sheet),
+m AS (SELECT file, min(CASE WHEN mon AND NOT spec THEN row_idx END) AS month_row FROM g GROUP BY file)
+SELECT m.file, m.month_row,
+       coalesce(max(CASE WHEN g.spec AND g.row_idx < m.month_row THEN g.row_idx END),
+                min(CASE WHEN g.spec AND g.row_idx > m.month_row THEN g.row_idx END)) AS spec_row
+FROM m JOIN g ON m.file = g.file GROUP BY m.file, m.month_row""")
 def grid_header_locate_q(spark, sf_dir):
     return G.grid_header_locate(_performance_grid(spark, sf_dir), L.SPEC_WORDS)
 
@@ -306,9 +346,11 @@ def _saved_master(spark, sf_dir, table="master_panel"):
     return name
 
 
-@register("save_table")
+@register("save_table", sql=panel_ctes() + " SELECT *, true AS has_audit FROM master")
 def save_table_q(spark, sf_dir):
-    return spark.table(_saved_master(spark, sf_dir))
+    # the stored table as written: every column plus a set audit timestamp
+    t = spark.table(_saved_master(spark, sf_dir))
+    return t.withColumn("has_audit", F.col(K.AUDIT_COL).isNotNull()).drop(K.AUDIT_COL)
 
 
 @register("read_table", sql=panel_ctes() + " SELECT * FROM master")
