@@ -205,5 +205,6 @@ def land_snapshots(spark: SparkSession, orders: DataFrame) -> str:
     """Orders landed as one folder per order year: ``orders_<year>``."""
     base = scratch_path(spark, "snapshots")
     o = orders.withColumn("snapshot", F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string")))
-    o.write.mode("overwrite").partitionBy("snapshot").parquet(base)
+    # each task writes its rows year by year (one open file at a time per task)
+    o.sortWithinPartitions("snapshot").write.mode("overwrite").partitionBy("snapshot").parquet(base)
     return base
