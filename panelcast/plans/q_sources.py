@@ -412,8 +412,8 @@ mae AS (SELECT series, avg(abs(y_real - y_pred)) AS mae FROM preds WHERE split =
 last AS (SELECT series, max(date) AS last_date, arg_max(demand / 1e6, date) AS prediction FROM mf GROUP BY series),
 hz AS (SELECT last.*, CAST(unnest(range(1, 13)) AS INTEGER) AS h FROM last)
 SELECT hz.series, hz.h, strftime(CAST(hz.last_date + to_months(hz.h) AS DATE), '%Y-%m') AS month,
-       round(prediction, 1) AS prediction, round(prediction - mae * sqrt(h), 1) AS lower,
-       round(prediction + mae * sqrt(h), 1) AS upper
+       round(prediction, 1) + 0.0 AS prediction, round(prediction - mae * sqrt(h), 1) + 0.0 AS lower,
+       round(prediction + mae * sqrt(h), 1) + 0.0 AS upper
 FROM hz LEFT JOIN mae ON hz.series = mae.series"""
 
 

@@ -63,9 +63,10 @@ def preds_sql(models=None) -> str:
 def metrics_sql(group: list[str]) -> str:
     g = ", ".join(group)
     e = "(y_real - y_pred)"
-    return (f"SELECT {g}, round(1 - sum({e} * {e}) / nullif(var_pop(y_real) * count(y_real), 0), 4) AS r2, "
-            f"round(avg({e} * {e}), 4) AS mse, round(avg(abs({e})), 4) AS mae, "
-            f"round(avg(abs({e}) / greatest(abs(y_real), {ST.MAPE_EPS!r})), 4) AS mape "
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (Spark's round never yields -0.0)
+    return (f"SELECT {g}, round(1 - sum({e} * {e}) / nullif(var_pop(y_real) * count(y_real), 0), 4) + 0.0 AS r2, "
+            f"round(avg({e} * {e}), 4) + 0.0 AS mse, round(avg(abs({e})), 4) + 0.0 AS mae, "
+            f"round(avg(abs({e}) / greatest(abs(y_real), {ST.MAPE_EPS!r})), 4) + 0.0 AS mape "
             f"FROM preds GROUP BY {g}")
 
 
@@ -166,8 +167,8 @@ r AS (SELECT series, split, y_real - y_pred AS ordered,
 pts AS (SELECT series, split, CAST(i AS INTEGER) AS i, ordered, {S.norm_ppf('(' + _POS + ')')} AS theoretical FROM r),
 fit AS (SELECT series, split, regr_slope(ordered, theoretical) AS slope,
                regr_intercept(ordered, theoretical) AS intercept FROM pts GROUP BY series, split)
-SELECT pts.series, pts.split, i, round(theoretical, 9) + 0.0 AS theoretical, round(ordered, 9) AS ordered,
-       round(slope, 6) AS slope, round(intercept, 6) + 0.0 AS intercept
+SELECT pts.series, pts.split, i, round(theoretical, 9) + 0.0 AS theoretical, round(ordered, 9) + 0.0 AS ordered,
+       round(slope, 6) + 0.0 AS slope, round(intercept, 6) + 0.0 AS intercept
 FROM pts JOIN fit ON pts.series = fit.series AND pts.split = fit.split""")
 def qq_points_q(spark, sf_dir):
     # one Q-Q plot per series and split: every window group is one series' months
@@ -183,8 +184,8 @@ b AS (SELECT split, min(x) AS lo, max(x) AS hi FROM r GROUP BY split),
 c AS (SELECT r.split, CAST(CASE WHEN b.hi = b.lo THEN 1 ELSE least(floor(10 * (r.x - b.lo) / (b.hi - b.lo)) + 1, 10) END AS INTEGER) AS bin,
              count(*) AS cnt FROM r JOIN b ON r.split = b.split GROUP BY 1, 2),
 g AS (SELECT split, lo, hi, CAST(unnest(range(1, 11)) AS INTEGER) AS bin FROM b)
-SELECT g.split, g.bin, round(g.lo + (g.bin - 1) * ((g.hi - g.lo) / 10.0), 9) AS lower,
-       round(g.lo + g.bin * ((g.hi - g.lo) / 10.0), 9) AS upper, coalesce(c.cnt, 0) AS count
+SELECT g.split, g.bin, round(g.lo + (g.bin - 1) * ((g.hi - g.lo) / 10.0), 9) + 0.0 AS lower,
+       round(g.lo + g.bin * ((g.hi - g.lo) / 10.0), 9) + 0.0 AS upper, coalesce(c.cnt, 0) AS count
 FROM g LEFT JOIN c ON g.split = c.split AND g.bin = c.bin""")
 def histogram_q(spark, sf_dir):
     h = ST.histogram(_naive_resid(spark, sf_dir), "residual", 10, group=["split"])
@@ -215,10 +216,10 @@ def _corr_pairs_sql(cols, keys, src):
 
 
 @register("correlation_matrix", sql=panel_ctes() + f""", up AS ({_corr_pairs_sql(_CORR_COLS, ['series'], 'master')})
-SELECT series, col_i, col_j, CAST(pos_i AS INTEGER) AS pos_i, CAST(pos_j AS INTEGER) AS pos_j, round(corr, 6) AS corr FROM up
+SELECT series, col_i, col_j, CAST(pos_i AS INTEGER) AS pos_i, CAST(pos_j AS INTEGER) AS pos_j, round(corr, 6) + 0.0 AS corr FROM up
 UNION ALL
 SELECT series, col_j AS col_i, col_i AS col_j, CAST(pos_j AS INTEGER) AS pos_i, CAST(pos_i AS INTEGER) AS pos_j,
-       round(corr, 6) AS corr FROM up""")
+       round(corr, 6) + 0.0 AS corr FROM up""")
 def correlation_matrix_q(spark, sf_dir):
     cm = ST.correlation_matrix(P.master_panel(spark, sf_dir), _CORR_COLS, keys=P.KEYS)
     return cm.withColumn("corr", F.round("corr", 6))
@@ -265,8 +266,8 @@ def filter_by_target_corr_q(spark, sf_dir):
 @register("top_bottom_corr", sql=panel_ctes() + ", " + features_cte(FP)
           + f", up AS ({_corr_pairs_sql(_feature_list(), [], 'feat')}), "
           + """nn AS (SELECT * FROM up WHERE corr IS NOT NULL),
-t AS (SELECT col_i, col_j, round(corr, 6) AS corr, 'top' AS side FROM nn ORDER BY corr DESC, col_i, col_j LIMIT 15),
-b AS (SELECT col_i, col_j, round(corr, 6) AS corr, 'bottom' AS side FROM nn ORDER BY corr ASC, col_i, col_j LIMIT 15)
+t AS (SELECT col_i, col_j, round(corr, 6) + 0.0 AS corr, 'top' AS side FROM nn ORDER BY corr DESC, col_i, col_j LIMIT 15),
+b AS (SELECT col_i, col_j, round(corr, 6) + 0.0 AS corr, 'bottom' AS side FROM nn ORDER BY corr ASC, col_i, col_j LIMIT 15)
 SELECT * FROM t UNION ALL SELECT * FROM b""")
 def top_bottom_corr_q(spark, sf_dir):
     feat = FE.feature_table(P.master_panel(spark, sf_dir), FP)
@@ -300,8 +301,8 @@ mae AS (SELECT series, avg(abs(y_real - y_pred)) AS mae FROM preds WHERE split =
 last AS (SELECT series, max(date) AS last_date, arg_max(demand / 1e6, date) AS prediction FROM mf GROUP BY series),
 hz AS (SELECT last.*, CAST(unnest(range(1, {HORIZON + 1})) AS INTEGER) AS h FROM last)
 SELECT hz.series, hz.h, strftime(CAST(hz.last_date + to_months(hz.h) AS DATE), '%Y-%m') AS month,
-       round(prediction, 1) AS prediction, round(prediction - mae * sqrt(h), 1) AS lower,
-       round(prediction + mae * sqrt(h), 1) AS upper
+       round(prediction, 1) + 0.0 AS prediction, round(prediction - mae * sqrt(h), 1) + 0.0 AS lower,
+       round(prediction + mae * sqrt(h), 1) + 0.0 AS upper
 FROM hz LEFT JOIN mae ON hz.series = mae.series""")
 def error_band_q(spark, sf_dir):
     pr = baseline_predictions(spark, sf_dir, ["naive"])
