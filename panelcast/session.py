@@ -28,7 +28,9 @@ SCALE_CONF = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "panelcast") -> SparkSession:
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               # checkpoint files of DataFrames that are gone are removed from the shared folder
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         # local runs: the driver JVM is the only executor
         builder = builder.master(master).config("spark.driver.memory", "16g")
