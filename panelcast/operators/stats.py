@@ -8,50 +8,11 @@ NULL (pandas gives NaN) instead of an ANSI divide-by-zero error.
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Aggregate expressions per generated ``agg``; keeps generated code small.
-PAIR_CHUNK = 100
-
-
-def pair_corr(x: str, y: str) -> Column:
-    """Pearson r over rows where both are non-NULL; NULL when a side is constant."""
-    cx, cy = F.col(f"`{x}`"), F.col(f"`{y}`")
-    both = cx.isNotNull() & cy.isNotNull()
-    xm, ym = F.when(both, cx), F.when(both, cy)
-    return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
-
-
-def _agg_chunks(df: DataFrame, exprs: list[tuple[str, Column]], keys: list[str]) -> DataFrame:
-    """Run named aggregate expressions in chunks and join the one-row (per key) results."""
-    out = None
-    for i in range(0, len(exprs), PAIR_CHUNK):
-        chunk = exprs[i:i + PAIR_CHUNK]
-        part = (df.groupBy(*keys) if keys else df.groupBy()).agg(*[e.alias(n) for n, e in chunk])
-        if out is None:
-            out = part
-        elif keys:
-            out = out.join(part, keys, "inner")
-        else:
-            # both sides are single-row aggregates: join on a constant key, broadcast (1 row)
-            out = out.withColumn("_one", F.lit(1)).join(
-                F.broadcast(part.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    return out
-
-
-def _stack(wide: DataFrame, names: list[str], keys: list[str], label_cols: list[str],
-           labels: list[tuple], value: str) -> DataFrame:
-    """One row per aggregate: (keys, label cols..., value)."""
-    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(label_cols, lab)],
-                        F.col(f"`{n}`").cast("double").alias(value))
-               for n, lab in zip(names, labels)]
-    return wide.select(*keys, F.explode(F.array(*structs)).alias("_s")).select(*keys, "_s.*")
-
-
 def pair_moments(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]],
                  keys: list[str] | None = None) -> DataFrame:
     """Pearson r for the given column-index pairs, one aggregate over a long form.
@@ -104,13 +65,17 @@ def corr_with_target(df: DataFrame, target: str, features: list[str],
 
 
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Percent NULL per column; only non-zero ones, highest first."""
-    cols = cols or df.columns
-    exprs = [(f"_n{i}", F.avg(F.col(f"`{c}`").isNull().cast("double")) * F.lit(100.0))
-             for i, c in enumerate(cols)]
-    wide = _agg_chunks(df, exprs, [])
-    long = _stack(wide, [n for n, _ in exprs], [], ["column"], [(c,) for c in cols], "pct_null")
-    return long.filter(F.col("pct_null") > 0).orderBy(F.col("pct_null").desc(), "column")
+    """Percent NULL per column; only non-zero ones, highest first.
+
+    One pass over a long form (column, is-NULL flag) built by a higher-order
+    ``transform``, aggregated per column: the cost does not grow with extra
+    chunks or joins when the table is wide."""
+    cols = list(cols or df.columns)
+    flags = df.select(F.array(*[F.col(f"`{c}`").isNull() for c in cols]).alias("_f"))
+    long = flags.select(F.posexplode("_f").alias("_i", "_null"))
+    out = long.groupBy("_i").agg((F.avg(F.col("_null").cast("double")) * F.lit(100.0)).alias("pct_null"))
+    out = out.select(F.element_at(F.lit(cols), F.col("_i") + 1).alias("column"), "pct_null")
+    return out.filter(F.col("pct_null") > 0).orderBy(F.col("pct_null").desc(), "column")
 
 
 # Smallest positive double step used as the MAPE floor on |y| (numpy float64 eps).
@@ -257,5 +222,3 @@ def qq_points(df: DataFrame, value: str, group: list[str] | None = None) -> Data
               .select("i", "theoretical", "ordered", "slope", "intercept")
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "math")]
-_ = math
