@@ -57,7 +57,7 @@ def _wide(cells: DataFrame, n_cols: int) -> DataFrame:
 
 def _write_sheet(sheet: DataFrame, path: str) -> str:
     # a sheet is one file (bounded by the sheet layout), like the xls it stands for
-    sheet.orderBy("row_idx").coalesce(1).write.mode("overwrite").option("header", False).csv(path)
+    sheet.coalesce(1).sortWithinPartitions("row_idx").write.mode("overwrite").option("header", False).csv(path)
     return path
 
 
