@@ -127,8 +127,9 @@ def monthly_pivot(df: DataFrame, date_col: str, category_col: str, value_col: st
 
 
 def monthly_pivot_filled(df: DataFrame, date_col: str, category_col: str, value_col: str,
-                         values: list, start, keys=None, date="date", names=None) -> DataFrame:
+                         values: list, start, keys=None, date="date", names=None,
+                         scale: int | None = None) -> DataFrame:
     """Pivot, keep months after ``start`` (open bound) and turn NULL into 0."""
-    out = monthly_pivot(df, date_col, category_col, value_col, values, keys, date, names)
+    out = monthly_pivot(df, date_col, category_col, value_col, values, keys, date, names, scale)
     cols = names or [str(v) for v in values]
     return out.filter(F.col(date) > F.lit(start)).fillna(0.0, subset=cols)

@@ -157,7 +157,8 @@ def value_bounds(df: DataFrame, a: str, b: str, group: list[str] | None = None)
         F.least(F.min(a), F.min(b)).alias("lo"), F.greatest(F.max(a), F.max(b)).alias("hi"))
 
 
-# --- inverse standard normal CDF (Wichura 1988, AS 241, PPND16) ---------------
+# --- fixed values: published coefficients of the inverse normal CDF ----------
+# (Wichura 1988, algorithm AS 241, PPND16), in the order printed there.
 _A = [3.387132872796366608, 133.14166789178437745, 1971.5909503065514427,
       13731.693765509461125, 45921.953931549871457, 67265.770927008700853,
       33430.575583588128105, 2509.0809287301226727]

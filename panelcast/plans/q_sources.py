@@ -423,3 +423,38 @@ def export_table_q(spark, sf_dir):
     path = scratch_path(spark, "export") + "/forecast_table"
     K.export_table(error_band_q(spark, sf_dir), path)
     return spark.read.schema(_EXPORT_SCHEMA).option("header", True).csv(path)
+
+
+# -- register file -> monthly silver series (CSV, select, geography, pivot, fill, validate)
+_WORKS_SCHEMA = StructType([StructField(L.WORKS_HEADER[0], StringType()), StructField(L.WORKS_HEADER[1], StringType()),
+                            StructField(L.WORKS_HEADER[2], StringType()), StructField(L.WORKS_HEADER[3], StringType()),
+                            StructField(L.WORKS_HEADER[4], DoubleType()), StructField(L.WORKS_HEADER[5], StringType())])
+_UNITS = P.PRIORITIES
+_UNIT_COLS = [f"unit_{i + 1}" for i in range(len(_UNITS))]
+WORKS_START = "1996-01-01"
+
+
+@register("works_monthly", sql=f"""
+WITH r AS (SELECT rg.r_name AS country, nullif(n.n_name, 'CANADA') AS state, CAST(o.o_orderdate AS DATE) AS d,
+                  o.o_orderpriority AS unit, o.o_totalprice AS area
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+           JOIN region rg ON n.n_regionkey = rg.r_regionkey),
+f AS (SELECT * FROM r WHERE country = 'AMERICA' AND state IS DISTINCT FROM 'BRAZIL' AND d IS NOT NULL AND unit IS NOT NULL),
+p AS (SELECT CAST(date_trunc('month', d) AS DATE) AS date, {S.pivot_sums('unit', 'area', _UNITS, _UNIT_COLS, 2)}
+      FROM f GROUP BY 1)
+SELECT date, {', '.join(f'coalesce({c}, 0) AS {c}' for c in _UNIT_COLS)} FROM p WHERE date > DATE '{WORKS_START}'""")
+def works_monthly_q(spark, sf_dir):
+    """Register file to monthly silver: the full source flow of one landed file."""
+    from panelcast.operators.monthly import monthly_pivot_filled
+    from panelcast.operators.quality import validate_output
+    path = L.land_works_register(spark, *(P.load(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region")))
+    raw = FS.scan_csv_encoded(spark, path, _WORKS_SCHEMA)
+    wanted = [L.WORKS_HEADER[i] for i in (0, 1, 2, 3, 4)] + ["Nome do município"]   # one column is absent
+    sel = C.select_existing(raw, wanted)
+    geo = C.geo_filter(sel, L.WORKS_HEADER[0], "AMERICA", L.WORKS_HEADER[1], "BRAZIL")
+    typed = geo.withColumn(L.WORKS_HEADER[2], X.to_date(F.col(f"`{L.WORKS_HEADER[2]}`")))
+    out = monthly_pivot_filled(typed, L.WORKS_HEADER[2], L.WORKS_HEADER[3], L.WORKS_HEADER[4], _UNITS,
+                               WORKS_START, names=_UNIT_COLS, scale=2)
+    validate_output(out, "works_monthly", min_rows=24, required=["date", _UNIT_COLS[0]], date_col="date",
+                    recent_months=12, as_of="2002-01-01")
+    return out

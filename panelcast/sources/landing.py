@@ -208,3 +208,25 @@ def land_snapshots(spark: SparkSession, orders: DataFrame) -> str:
     # each task writes its rows year by year (one open file at a time per task)
     o.sortWithinPartitions("snapshot").write.mode("overwrite").partitionBy("snapshot").parquet(base)
     return base
+
+
+# ------------------------------------------------------------ works register
+# Header of the landed register (Latin-1 CSV), in file order.
+WORKS_HEADER = ["Nome do pais", "Estado", "Data de início", "Unidade de medida", "Área total", "Situação"]
+
+
+def land_works_register(spark: SparkSession, orders: DataFrame, customer: DataFrame,
+                        nation: DataFrame, region: DataFrame) -> str:
+    """A register of dated records with country, state, unit and area, in Latin-1.
+
+    Built from orders (date, priority as unit, price as area, status) and the
+    customer's nation/region; one nation's records arrive without a state."""
+    geo = F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+                      .select("n_nationkey", "n_name", "r_name"))
+    cust = customer.select("c_custkey", "c_nationkey").join(geo, F.col("c_nationkey") == geo.n_nationkey)
+    rows = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
+        F.col("r_name"), F.nullif(F.col("n_name"), F.lit("CANADA")), F.col("o_orderdate").cast("date"),
+        F.col("o_orderpriority"), F.col("o_totalprice"), F.col("o_orderstatus")).toDF(*WORKS_HEADER)
+    path = scratch_path(spark, "works") + "/register_latin1"
+    rows.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return path
