@@ -30,6 +30,7 @@ def fit_boosted_trees_q(spark, sf_dir):
 
 @register("gbt_metrics")
 def gbt_metrics_q(spark, sf_dir):
+    """R², MSE, MAE, MAPE per split of the panel GBT (regression_metrics on fitted predictions)."""
     return _trained(spark, sf_dir, with_cv=False, with_search=False).metrics
 
 
@@ -76,6 +77,7 @@ def recursive_forecast_q(spark, sf_dir):
 
 @register("model_error_band")
 def model_error_band_q(spark, sf_dir):
+    """Recursive GBT forecast with its band: prediction ± test MAE·sqrt(h) per series."""
     r = _trained(spark, sf_dir, with_cv=False, with_search=False)
     fc = T.forecast(r, RP)
     mae = r.predictions.filter(F.col("split") == "test").groupBy(*P.KEYS).agg(

@@ -166,7 +166,7 @@ SELECT {M_SHIP} AS Date, {', '.join(f"round(sum(CASE WHEN l_returnflag = '{f}' A
        round({' + '.join(f"coalesce(round(sum(CASE WHEN l_returnflag = '{f}' AND l_linestatus = 'F' THEN l_quantity END), 2), 0)" for f in P.RETURN_FLAGS)}, 2) AS total_f
 FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1""")
 def vehicle_total_q(spark, sf_dir):
-    """The vehicles pipeline end to end: rename, pick one variable by name, row total."""
+    """The vehicles sheet end to end: rename, pick one variable by name, row total."""
     named = G.block_header_rename(_vehicle_grid(spark, sf_dir), 3, L.VEHICLE_VARIABLES)
     typed = named.select(X.to_date("Date").alias("Date"), *[X.numeric_coerce(c).alias(c) for c in _VEH_COLS])
     picked = C.select_by_name_match(typed, "_F", keep=["Date"])
@@ -250,7 +250,7 @@ cal AS ({S.calendar('agg', ['region_code'])})
 SELECT c.region_code, c.date, coalesce(a.total, 0) AS total
 FROM cal c LEFT JOIN agg a ON c.region_code = a.region_code AND c.date = a.date""")
 def region_monthly_sum_q(spark, sf_dir):
-    """Per-region pipeline: typed responses, one variable, monthly sum over the calendar."""
+    """Per-region responses end to end: typed rows, one variable, monthly sum over the calendar."""
     from panelcast.operators.monthly import monthly_sum
     t = C.variable_filter(_region_typed(spark, sf_dir), "variable", "orders")
     return monthly_sum(t, "month", "value", keys=["region_code"], out_names=["total"])
@@ -367,6 +367,7 @@ def load_master_q(spark, sf_dir):
 
 @register("table_last_modified")
 def table_last_modified_q(spark, sf_dir):
+    """Time of the last write of a saved table (the UI cache key), from file metadata."""
     _saved_master(spark, sf_dir)
     return K.table_last_modified(spark, "gold", "master_panel")
 

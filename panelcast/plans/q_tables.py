@@ -45,6 +45,7 @@ SELECT nation, date, demand, """ + ", ".join(
 
 @register("nation_panel", sql=_NATION_SQL)
 def nation_panel_q(spark, sf_dir):
+    """25-series panel by customer nation: pre-aggregated orders joined to customer, merged, filled."""
     return P.nation_panel(spark, sf_dir)
 
 
