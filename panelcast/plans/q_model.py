@@ -71,8 +71,9 @@ def permutation_importance_q(spark, sf_dir):
 
 @register("recursive_forecast")
 def recursive_forecast_q(spark, sf_dir):
-    r = _trained(spark, sf_dir, with_cv=False, with_search=False)
-    return T.forecast(r, RP)
+    # the forecast refits on every row, so it needs the prepared frame, not the trainval model
+    df, cols = T.prepared_frame(spark, sf_dir, RP)
+    return T.forecast_from(df, cols, RP.base_trees, RP)
 
 
 @register("model_error_band")

@@ -103,14 +103,18 @@ def train(spark: SparkSession, sf_dir: str, rp: RunParams | None = None, with_cv
     return TrainResult(df, cols, best, trials, model, pred, metrics, cv)
 
 
-def forecast(res: TrainResult, rp: RunParams | None = None) -> DataFrame:
+def forecast_from(df: DataFrame, feature_cols: list[str], best: MD.TreeParams,
+                  rp: RunParams | None = None) -> DataFrame:
     """Refit on every row (weights over all rows), then forecast ``horizon`` months."""
     rp = rp or RunParams()
-    df = res.frame
     w = Window.partitionBy(*P.KEYS).orderBy(F.col("date").desc())
     full = df.withColumn("w_all", F.pow(F.lit(rp.lam), (F.row_number().over(w) - 1).cast("double")))
-    model = MD.fit_boosted_trees(full, spec_for(res.feature_cols, "w_all", rp), res.best, seed=rp.seed)
-    return recursive_forecast(model, df, res.feature_cols, P.TARGET, P.KEYS, rp.horizon)
+    model = MD.fit_boosted_trees(full, spec_for(feature_cols, "w_all", rp), best, seed=rp.seed)
+    return recursive_forecast(model, df, feature_cols, P.TARGET, P.KEYS, rp.horizon)
+
+
+def forecast(res: TrainResult, rp: RunParams | None = None) -> DataFrame:
+    return forecast_from(res.frame, res.feature_cols, res.best, rp)
 
 
 # ------------------------------------------------------------------- sessions
