@@ -383,8 +383,6 @@ def normalise_for_write_q(spark, sf_dir):
     return K.normalise_for_write(o, string_cols=["o_custkey"])
 
 
-_ = (M_SHIP, S)
-
 
 # -- validation and export --------------------------------------------------------
 AS_OF = "2002-06-01"

@@ -18,7 +18,7 @@ from panelcast.operators.splits import split_checks, temporal_split, walk_forwar
 from panelcast.plans import panels as P
 from panelcast.plans import sqlgen as S
 from panelcast.plans.oracle_panels import feature_names, features_cte, panel_ctes
-from panelcast.plans.q_windows import FP, rounded_features
+from panelcast.plans.q_windows import FP
 from panelcast.plans.registry import register
 
 VAL_START, TEST_START, UNTIL = "1999-01-01", "2000-08-01", "2001-08-01"
@@ -314,8 +314,6 @@ def error_band_q(spark, sf_dir):
     return error_band(fc, mae, P.KEYS)
 
 
-_ = rounded_features
-
 
 @register("model_winners", sql=preds_sql() + f""", mc AS ({metrics_sql(['model', 'split'])})
 SELECT split, arg_min(model, mape) AS best_mape_model, arg_max(model, r2) AS best_r2_model FROM mc GROUP BY split""")
