@@ -3,6 +3,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from panelcast.operators import monthly as MO
 from panelcast.operators.joins import inner_merge_chain, left_merge_chain, union_tagged
@@ -69,3 +71,26 @@ def test_union_tagged(spark):
     a = spark.createDataFrame([(1,)], "x int")
     out = union_tagged({"train": a, "test": a})
     assert rows(out, "split", "x") == [("test", 1), ("train", 1)]
+
+
+def test_monthly_pivot_filled_and_strict_month_code(spark):
+    df = spark.createDataFrame([(D(2020, 1, 5), "m2", 1.0), (D(2020, 3, 5), "m3", 2.0), (D(2019, 12, 1), "m2", 9.0)],
+                               "d date, u string, v double")
+    out = MO.monthly_pivot_filled(df, "d", "u", "v", ["m2", "m3"], "2019-12-31")
+    assert rows(out, "date", "m2", "m3") == [(D(2020, 1, 1), 1.0, 0.0), (D(2020, 3, 1), 0.0, 2.0)]
+    from panelcast.functions.scalars import parse_yyyymm
+    bad = spark.createDataFrame([("2023-1",)], "c string")
+    with pytest.raises(Exception):
+        bad.select(parse_yyyymm("c")).collect()
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.sets(st.integers(0, 40), min_size=1, max_size=15), st.sets(st.integers(0, 40), max_size=15))
+def test_left_chain_keeps_anchor_count_on_unique_dates(spark, anchor_m, feat_m):
+    def month(i):
+        return D(2020 + i // 12, i % 12 + 1, 1)
+    anchor = spark.createDataFrame([("s", month(i), float(i)) for i in anchor_m], "series string, date date, y double")
+    feat = spark.createDataFrame([(month(i), float(i)) for i in feat_m] or [(None, None)], "date date, f double")
+    out = left_merge_chain(anchor, [feat], keys=["series"])
+    assert out.count() == len(anchor_m)
+    assert out.filter("f is not null").count() == len(anchor_m & feat_m)
