@@ -95,7 +95,8 @@ def train(spark: SparkSession, sf_dir: str, rp: RunParams | None = None, with_cv
     tv_spec = spec_for(cols, "w_trainval", rp)
     cv = None
     if with_cv:
-        folds = walk_forward_folds(df, rp.n_folds, rp.fold_size, P.KEYS)
+        # every fold fit reads the fold table: materialise it once (K copies of trainval rows)
+        folds = cut_lineage(walk_forward_folds(df, rp.n_folds, rp.fold_size, P.KEYS))
         cv = MD.walk_forward_cv(folds, tv_spec, best, seed=rp.seed)
     model = MD.fit_boosted_trees(df.filter(F.col("split") != "test"), tv_spec, best, seed=rp.seed)
     pred = model.transform(df).select(*P.KEYS, "date", "split", F.col(P.TARGET).alias("y_real"), "y_pred")
