@@ -100,7 +100,10 @@ def silver_sources(spark: SparkSession, sf_dir: str, materialize: bool = True):
     o = orders_silver(load(spark, sf_dir, "orders"))
     li = lineitem_silver(load(spark, sf_dir, "lineitem"))
     if materialize:
-        o, li = cut_lineage(o), cut_lineage(li)
+        # the two scans are independent jobs: submit them together
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=2) as ex:
+            o, li = ex.map(cut_lineage, [o, li])
     return o, li
 
 
