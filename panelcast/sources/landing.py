@@ -191,6 +191,7 @@ def land_region_responses(spark: SparkSession, rows: DataFrame) -> tuple[list[st
 
 
 # ---------------------------------------------------------------- plain files
+# fixed values: accented header of the landed customer file
 ENCODED_NAMES = ["Código", "Nome do cliente", "País (código)", "Saldo (R$)", "Segmento de mercado"]
 
 
@@ -211,8 +212,9 @@ def land_snapshots(spark: SparkSession, orders: DataFrame) -> str:
 
 
 # ------------------------------------------------------------ works register
-# Header of the landed register (Latin-1 CSV), in file order.
+# --- fixed values: header of the landed register (Latin-1 CSV), in file order ---
 WORKS_HEADER = ["Nome do pais", "Estado", "Data de início", "Unidade de medida", "Área total", "Situação"]
+# ---------------------------------------------------------------------------------
 
 
 def land_works_register(spark: SparkSession, orders: DataFrame, customer: DataFrame,
