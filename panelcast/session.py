@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,5 +72,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application), so that functions
+    run in tasks find it whatever the workers' path and working folder are."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="panelcast-ship-"), "panelcast.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(os.path.join(root, "panelcast")):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(name)
+    _SHIPPED.add(app)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
