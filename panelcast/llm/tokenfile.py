@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ MAGIC, HEAD = b"PCIDS001", 16
 #: Keys of one index part, at most about this many on average.
 PART_KEYS = 1_000_000
 #: Entries of a worker's caches of encoded words; a full cache is emptied.
-MAX_WORDS = 300_000
+MAX_WORDS = 400_000
 MAX_TOKENIZER_BYTES = 64 << 20
 
 
@@ -48,7 +49,7 @@ class WordCache:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
         self.tok.encode_special_tokens = True           # their strings in a text are ordinary text
-        self.dtype = np.dtype(dtype)
+        self.kind = {2: "H", 4: "I"}[np.dtype(dtype).itemsize]
         parts = json.loads(spec)
         pre = (parts.get("pre_tokenizer") or {})
         first = (pre.get("pretokenizers") or [pre])[0]
@@ -56,7 +57,7 @@ class WordCache:
                      and not parts.get("truncation") and not parts.get("padding"))
         lowers = any(n.get("type") == "Lowercase" for n in (parts.get("normalizer") or {}).get("normalizers", []))
         # a Latin word is one pre-token of the splitter; lower-cased it goes straight to the merges
-        self.direct = self.safe and lowers and r"[\p{L}]+" in str(first.get("pattern")) and parts["model"]["type"] == "BPE"
+        self.direct = self.safe and lowers and r"[\p{L}]+" in (first.get("pattern") or {}).get("Regex", "") and parts["model"]["type"] == "BPE"
         self._bytes = self._byte_letters()
         self._words: dict[str, bytes] = {}
         self._stems: dict[str, bytes] = {}
@@ -70,13 +71,13 @@ class WordCache:
         return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.kind, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _stem(self, word: str) -> bytes:
         ids = self._stems.get(word)
         if ids is None:
             letters = word if word.isascii() else "".join(map(self._bytes.__getitem__, word.encode()))
-            ids = np.array([t.id for t in self.tok.model.tokenize(letters)], self.dtype).tobytes()
+            ids = array(self.kind, [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
             if len(self._stems) >= MAX_WORDS:
                 self._stems.clear()
             self._stems[word] = ids
