@@ -28,6 +28,14 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost
     executors, and gives the next plan real sizes."""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import LONG, map_rows, schema, stored, whole_text
+from panelcast.llm.common import LONG, fresh, map_rows, schema, stored, whole_text
 from panelcast.llm.components import components
 from panelcast.session import ship_package
 
@@ -216,23 +216,23 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET) -> Data
     Rows that repeat a kept doc_id are reduced to one. A component without any
     doc_id keeps one row too, told by its text.
     """
-    tagged = docs.withColumn("_row_key", F.struct(
-        F.col("doc_id").alias("i"), F.when(F.col("doc_id").isNull(), F.xxhash64(whole_text())).alias("h")))
-    tagged = tagged.withColumn("_row_key", F.to_json("_row_key"))
+    name = fresh(docs, "row_key")
+    hashed = F.when(F.col("doc_id").isNull(), F.xxhash64(whole_text()))
+    tagged = docs.withColumn(name, F.to_json(F.struct(F.col("doc_id").cast("long").alias("i"), hashed.alias("h"))))
     groups = simhash_groups(docs, k, budget)
-    keep = groups.filter("doc_id = component_id").groupBy("doc_id").count()
-    keep = keep.select(F.to_json(F.struct(F.col("doc_id").alias("i"))).alias("_row_key"), F.col("count").alias("_n"))
+    keep = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    keep = keep.select(F.to_json(F.struct(F.col("doc_id").alias("i"))).alias(name), "n")
     if groups.filter("component_id is null").limit(1).count():
-        # documents without any id in their whole component: the text hash stands for the id
+        # no document of the component has an id: the text hash stands for it
         bare = docs.filter("doc_id is null").select(F.xxhash64(whole_text()).alias("doc_id"), "text")
         only = simhash_groups(bare, k, budget).join(
             groups.filter("component_id is null").select("fp").distinct(), "fp", "left_semi")
-        only = only.filter("doc_id = component_id").groupBy("doc_id").count()
-        keep = keep.union(only.select(F.to_json(F.struct(F.col("doc_id").alias("h"))), F.col("count")))
+        only = only.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+        keep = keep.union(only.select(F.to_json(F.struct(F.col("doc_id").alias("h"))), "n"))
     keep = stored(keep, "simhash-keep")
-    kept = tagged.join(keep.select("_row_key"), "_row_key", "left_semi")
-    again = keep.filter("_n > 1").select("_row_key")
+    kept = tagged.join(keep.select(name), name, "left_semi")
+    again = keep.filter("n > 1").select(name)
     if again.limit(1).count():
-        kept = (kept.join(again, "_row_key", "left_anti")
-                .union(kept.join(again, "_row_key", "left_semi").dropDuplicates(["_row_key"])))
+        kept = (kept.join(again, name, "left_anti")
+                .union(kept.join(again, name, "left_semi").dropDuplicates([name])))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
