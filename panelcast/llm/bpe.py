@@ -25,13 +25,13 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import BINARY, LONG, STRING, map_rows, schema, whole_text
+from panelcast.llm.common import BINARY, LONG, STRING, map_rows, resident, schema, whole_text
 
 #: White space as the pattern's engine has it (Unicode White_Space); fixed values.
 _SPACE = r"[\t-\r \x85\xa0  -     　]"
 _NONSPACE = "[^" + _SPACE[1:]
 #: Bounds of the caches of one worker; a full cache is emptied, results don't change.
-MAX_STATES, MAX_CHUNKS, MAX_PIECES = 150_000, 300_000, 300_000
+MAX_STATES, MAX_CHUNKS, MAX_PIECES = 120_000, 300_000, 250_000
 #: Vocabulary files are read on the driver and broadcast; larger ones are refused.
 MAX_VOCAB_BYTES = 64 << 20
 
@@ -74,9 +74,16 @@ class Transducer:
             self._ends[node] = i
         self._merges: dict[int, tuple | None] = {}
         self._pairs: dict[int, bool] = {}
+        self._states = {}
         self._reset()
 
+    def release(self) -> None:
+        """States refer to each other; emptied, they go at once."""
+        for table in self._states.values():
+            table.clear()
+
     def _reset(self) -> None:
+        self.release()
         self.start: dict = {}
         self._states: dict[tuple, dict] = {}
         self._register(((0, -1, ()),), self.start)
@@ -183,7 +190,6 @@ class Transducer:
     def encode(self, piece: bytes) -> tuple[int, ...]:
         if len(self._states) > MAX_STATES:
             self._reset()
-            gc.collect()                        # states refer to each other
         out, state = [], self.start
         for byte in piece:
             found = state.get(byte)
@@ -269,6 +275,11 @@ class Codec:
         self._cut = re.compile(r"(?<=\S) (?=\S)").split
         self._next_cut = re.compile(r"(?<=\S) (?=\S)").search
 
+    def release(self) -> None:
+        self.fst.release()
+        for table in self.utf8._tables.values():
+            table.clear()
+
     def _piece(self, piece: str) -> tuple:
         ids = self._pieces.get(piece)
         if ids is None:
@@ -316,18 +327,14 @@ class Codec:
                 yield self.encode_block(block)
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(vocab: bytes, pattern: str) -> Codec:
     """One codec for each vocabulary and worker process."""
-    key = hashlib.sha256(vocab + pattern.encode()).hexdigest()
-    if key not in _CODECS:
+    def build() -> Codec:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocab.splitlines() if line)}
-        _CODECS[key] = Codec(ranks, pattern)
-        gc.freeze()                             # large tables that stay: not worth walking again and again
-        gc.set_threshold(500_000, 20, 100)
-    return _CODECS[key]
+        gc.set_threshold(500_000, 20, 100)      # large tables that stay: not worth walking often
+        return Codec(ranks, pattern)
+
+    return resident(("bpe", hashlib.sha256(vocab + pattern.encode()).hexdigest()), build)
 
 
 def _rows(df: DataFrame, path: str, pattern: str, out, use):

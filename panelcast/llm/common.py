@@ -81,6 +81,20 @@ def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatc
     yield from slices(batch.slice(half), most)
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key, build: Callable):
+    """The one large model a worker process holds; building another lets go of it first,
+    so stages that follow each other don't add up."""
+    if key not in _RESIDENT:
+        for old in _RESIDENT.values():
+            getattr(old, "release", lambda: None)()
+        _RESIDENT.clear()
+        _RESIDENT[key] = build()
+    return _RESIDENT[key]
+
+
 def open_uri(uri: str):
     """(file system, path) of a folder or file named by URI or plain path."""
     from pyarrow import fs

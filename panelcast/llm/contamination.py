@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import LONG, STRING, map_rows, schema, slices, stored, whole_text
+from panelcast.llm.common import LONG, STRING, map_rows, resident, schema, slices, stored, whole_text
 from panelcast.llm.licenses import FOLD
 from panelcast.session import ship_package
 
@@ -174,15 +174,9 @@ def benchmark_blocks(bench: DataFrame, words: int = BLOCK_WORDS) -> Iterator[lis
             yield [tuple(r) for r in rows]
 
 
-_READY: dict[str, Block] = {}
-
-
 def _block(shared) -> Block:
     key, rows = shared.value
-    if key not in _READY:
-        _READY.clear()
-        _READY[key] = Block([(r[0], r[2]) for r in rows])
-    return _READY[key]
+    return resident(("benchmark", key), lambda: Block([(r[0], r[2]) for r in rows]))
 
 
 def _shared_blocks(docs: DataFrame, bench: DataFrame):

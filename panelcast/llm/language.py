@@ -9,7 +9,6 @@ phrase costs log2(n) bits; the language with the fewest bits a character wins.
 
 from __future__ import annotations
 
-import gc
 import json
 import math
 import re
@@ -18,7 +17,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import BOOL, DOUBLE, LONG, STRING, map_rows, schema, whole_text
+from panelcast.llm.common import BOOL, DOUBLE, LONG, STRING, map_rows, resident, schema, whole_text
 from panelcast.session import ship_package
 
 #: The bounded sample a language is learned from: so many rows, so many characters of each.
@@ -99,17 +98,9 @@ class Identifier:
         return costs[0][1], 1.0 - costs[0][0] / costs[1][0]
 
 
-_READY: dict[str, Identifier] = {}
-
-
 def identifier(model: str) -> Identifier:
     """One set of automata for each model and worker process."""
-    key = f"{zlib.crc32(model.encode())}:{len(model)}"
-    if key not in _READY:
-        _READY.clear()
-        _READY[key] = Identifier(json.loads(model))
-        gc.freeze()         # the automata stay; not worth walking again and again
-    return _READY[key]
+    return resident(("language", zlib.crc32(model.encode()), len(model)), lambda: Identifier(json.loads(model)))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -134,7 +134,8 @@ def _spread(f: np.ndarray, budget: int) -> Iterator[np.ndarray]:
 def links(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
     """Distinct ``fp`` -> edges (u, v) that connect all fingerprints within ``budget``
     bits. Under a key every linked pair of a small group is returned, of a large
-    group a spanning set, so a group of copies never becomes all of its pairs.
+    group a spanning set (its ends are connected, though not always next to each other),
+    so a group of copies never becomes all of its pairs.
     """
     if not 0 <= budget <= BUDGET:
         raise ValueError(f"the key plan covers 0 to {BUDGET} bits")

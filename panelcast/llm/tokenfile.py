@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import LONG, STRING, arrow_schema, open_uri, schema, slices, stored, task_file, whole_text
+from panelcast.llm.common import LONG, STRING, arrow_schema, open_uri, resident, schema, slices, stored, task_file, whole_text
 from panelcast.llm.mphf import PerfectHash, mix
 from panelcast.session import scratch_path, ship_package
 
@@ -114,14 +114,8 @@ class WordCache:
         return b"".join(known)
 
 
-_CACHES: dict[tuple, WordCache] = {}
-
-
 def _cache(spec: str, dtype: str) -> WordCache:
-    key = (zlib.crc32(spec.encode()), len(spec), dtype)
-    if key not in _CACHES:
-        _CACHES[key] = WordCache(spec, dtype)
-    return _CACHES[key]
+    return resident(("tokenizer", zlib.crc32(spec.encode()), len(spec), dtype), lambda: WordCache(spec, dtype))
 
 
 def _key_hash(doc_id: np.ndarray, missing: np.ndarray, copy: np.ndarray) -> np.ndarray:
