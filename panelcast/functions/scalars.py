@@ -66,12 +66,13 @@ def to_date(c: str | Column) -> Column:
 
 
 def trim_text(c: str | Column) -> Column:
-    return F.trim(col_of(c))
+    """Without white space at both ends: blanks, tabs, line breaks, no-break spaces."""
+    return F.regexp_replace(col_of(c), r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 
 def month_name_to_number(c: str | Column) -> Column:
     """First line of the cell, lower-cased and trimmed, as a month number 1..12."""
-    first_line = F.trim(F.lower(F.split(col_of(c), "\n").getItem(0)))
+    first_line = trim_text(F.lower(F.split(col_of(c), "\n").getItem(0)))
     mapping = F.create_map(*chain.from_iterable(
         (F.lit(name), F.lit(i + 1)) for i, name in enumerate(MONTH_ABBREVIATIONS)))
     return F.try_element_at(mapping, first_line)

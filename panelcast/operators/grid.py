@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.scalars import clean_year, make_month, month_name_to_number, numeric_coerce
+from panelcast.functions.scalars import clean_year, make_month, month_name_to_number, numeric_coerce, trim_text
 
 FILE = "file"
 
@@ -86,7 +86,7 @@ def category_ffill(rows: DataFrame, label: str, keywords: list[str], default: st
     hit = reduce(lambda a, b: a | b, [F.col(label).contains(k) for k in keywords])
     w = Window.partitionBy(FILE).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.withColumn(out, F.coalesce(
-        F.last(F.when(hit, F.trim(F.col(label))), ignorenulls=True).over(w), F.lit(default)))
+        F.last(F.when(hit, trim_text(F.col(label))), ignorenulls=True).over(w), F.lit(default)))
 
 
 def hierarchical_grid_to_long(grid: DataFrame, spec_words: list[str], keywords: list[str],
@@ -106,7 +106,7 @@ def hierarchical_grid_to_long(grid: DataFrame, spec_words: list[str], keywords:
     data = cells(grid, first=1).join(hm, [FILE, "col_idx"]).join(rows, [FILE, "row_idx"])
     keep = data.groupBy(FILE, "row_idx").agg(F.count("cell").alias("_n")).filter(F.col("_n") > 0)
     data = data.join(keep.select(FILE, "row_idx"), [FILE, "row_idx"], "left_semi")
-    return data.select(FILE, "category", F.trim("label").alias("spec"), "date",
+    return data.select(FILE, "category", trim_text("label").alias("spec"), "date",
                        numeric_coerce("cell").alias("value"))
 
 

@@ -66,10 +66,12 @@ def step_features(state: DataFrame, h: int, feature_cols: list[str], target: str
     nxt = F.add_months("last_date", h)
     exprs = {}
     for c, k in lags.items():
-        exprs[c] = F.element_at("buf", -k)
+        exprs[c] = F.try_element_at("buf", F.lit(-k))       # null before the series began
     for c, w in means.items():
-        win = F.slice("buf", -w, w)
-        exprs[c] = F.aggregate(win, F.lit(0.0), lambda a, x: a + x) / F.lit(float(w))
+        # a series shorter than the window averages what it has
+        size = F.least(F.lit(w), F.size("buf"))
+        win = F.slice("buf", -size, size)
+        exprs[c] = F.when(size > 0, F.aggregate(win, F.lit(0.0), lambda a, x: a + x) / size)
     if "month_sin" in feature_cols:
         exprs["month_sin"] = month_sin(nxt)
     if "month_cos" in feature_cols:
@@ -99,10 +101,3 @@ def recursive_forecast(model: PipelineModel, history: DataFrame, feature_cols: l
     out = state.select(*keys, "last_date", F.posexplode("preds").alias("_i", "prediction"))
     return out.select(*keys, (F.col("_i") + 1).alias("h"),
                       F.add_months("last_date", F.col("_i") + 1).alias(date), "prediction")
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out

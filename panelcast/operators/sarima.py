@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.session import ship_package
+
 SEASON = 12
 # Candidate orders: p in 0..2, d = 1, q in 0..2, seasonal P (sp) in 0..1, D (sd) = 1, Q (sq) in 0..1.
 # (Spark column names are case-insensitive, so the seasonal orders are named sp/sd/sq.)
@@ -45,20 +47,35 @@ def _apply_poly(y: np.ndarray, poly: np.ndarray) -> np.ndarray:
 
 
 def _lags(order: dict, s: int):
-    ar = list(range(1, order["p"] + 1)) + [s * k for k in range(1, order["sp"] + 1)]
-    ma = list(range(1, order["q"] + 1)) + [s * k for k in range(1, order["sq"] + 1)]
-    return ar, ma
+    """AR and MA lags of the expanded product of the short and the seasonal polynomial."""
+    def product(short: int, seasons: int) -> list[int]:
+        return [s * k + j for k in range(seasons + 1) for j in range(short + 1) if s * k + j]
+
+    return product(order["p"], order["sp"]), product(order["q"], order["sq"])
 
 
-def fit(y: np.ndarray, order: dict, exog: np.ndarray | None = None, s: int = SEASON) -> dict | None:
-    """Two-stage LS fit; returns coefficients, residual variance, AIC (None if too short)."""
+def _usable_lag(n_obs: int, orders: list[dict], s: int = SEASON) -> int:
+    """Longest lag of the grid that leaves enough rows; orders beyond it can't be fitted."""
+    o = orders[0]
+    n = n_obs - o["d"] - s * o["sd"]
+    m = min(max(2 * s, 8), n // 3)
+    lags = {max(sum(_lags(x, s), []) + [0]) for x in orders}
+    return max((lag for lag in lags if n - m - lag >= 5), default=-1)
+
+
+def fit(y: np.ndarray, order: dict, exog: np.ndarray | None = None, s: int = SEASON,
+        longest: int = 0) -> dict | None:
+    """Two-stage LS fit; returns coefficients, residual variance, AIC (None if too short).
+
+    With ``longest`` the rows begin after that lag for every order, so that the AIC of
+    different orders is taken over the same rows."""
     poly = _diff_poly(order["d"], order["sd"], s)
     z = _apply_poly(y, poly)
     xz = None if exog is None else np.column_stack([_apply_poly(exog[:, j], poly) for j in range(exog.shape[1])])
     ar, ma = _lags(order, s)
     n = len(z)
     m = min(max(2 * s, 8), n // 3)
-    if n < 10 or m < 1:
+    if len(y) <= len(poly) or n < 10 or m < 1:
         return None
     # stage 1: long autoregression for residual estimates
     X1 = np.column_stack([z[m - k: n - k] for k in range(1, m + 1)])
@@ -66,7 +83,7 @@ def fit(y: np.ndarray, order: dict, exog: np.ndarray | None = None, s: int = SEA
     e = np.zeros(n)
     e[m:] = z[m:] - X1 @ b1
     # stage 2: regression on AR lags of z, MA lags of e, exogenous terms
-    start = m + max(ar + ma + [0])
+    start = m + max(ar + ma + [longest])
     if n - start < 5:
         return None
     cols = [z[start - k: n - k] for k in ar] + [e[start - k: n - k] for k in ma]
@@ -111,28 +128,28 @@ def forecast(y: np.ndarray, model: dict, steps: int, exog_hist: np.ndarray | Non
 
 # ------------------------------------------------------------------ Spark plans
 
-def _order_struct():
-    return F.array(*[F.struct(*[F.lit(i).alias("order_id")] + [F.lit(v).alias(k) for k, v in o.items()])
-                     for i, o in enumerate(ORDER_GRID)])
-
-
 def arima_grid(train: DataFrame, keys: list[str], target: str, date: str = "date") -> DataFrame:
-    """AIC of every candidate order per series; (keys, order_id, p, d, q, sp, sd, sq, aic)."""
-    rows = train.select(*keys, date, F.col(target).cast("double").alias("y"))
-    rows = rows.withColumn("_o", F.explode(_order_struct())).select(*keys, date, "y", "_o.*")
+    """AIC of every candidate order per series; (keys, order_id, p, d, q, sp, sd, sq, aic).
+
+    One group per series fits the whole grid on the same rows. Orders whose lags
+    don't fit into the series have a NULL aic."""
+    ship_package(train.sparkSession)
     names = list(ORDER_GRID[0])
     schema = ", ".join([f"{k} string" for k in keys] + ["order_id int"] + [f"{k} int" for k in names]
                        + ["aic double"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date)
-        o = {k: int(pdf[k].iloc[0]) for k in names}
-        m = fit(pdf["y"].to_numpy(float), o)
-        row = {k: str(pdf[k].iloc[0]) for k in keys}
-        row.update(order_id=int(pdf["order_id"].iloc[0]), **o, aic=float(m["aic"]) if m else np.nan)
-        return pd.DataFrame([row])
-
-    out = rows.groupBy(*keys, "order_id").applyInPandas(run, schema)
+        y = pdf.sort_values(date)["y"].to_numpy(float)
+        usable = _usable_lag(len(y), ORDER_GRID)
+        rows = []
+        for i, o in enumerate(ORDER_GRID):
+            fits = max(sum(_lags(o, SEASON), []) + [0]) <= usable
+            m = fit(y, o, longest=usable) if fits else None
+            rows.append({**{k: str(pdf[k].iloc[0]) for k in keys}, "order_id": i, **o, "aic": m["aic"] if m else np.nan})
+        return pd.DataFrame(rows)
+
+    rows = train.select(*keys, date, F.col(target).cast("double").alias("y"))
+    out = rows.groupBy(*keys).applyInPandas(run, schema)
     return out.withColumn("aic", F.when(~F.isnan("aic"), F.col("aic")))
 
 
@@ -148,17 +165,19 @@ def arima_forecast(panel: DataFrame, orders: DataFrame, keys: list[str], target:
     """Per series: fit on train -> forecast val; refit on train+val -> forecast test.
 
     Exogenous columns (ARIMAX) use their observed values over the forecast
-    period. Output: (keys, date, split, y_real, y_pred, resid_std)."""
+    period. Output: (keys, date, split, y_real, y_pred, resid_std, reason): a series
+    too short for any order keeps its rows, with a NULL prediction and the reason."""
+    ship_package(panel.sparkSession)
     exog = list(exog or [])
     names = list(ORDER_GRID[0])
     data = panel.select(*keys, date, split, F.col(target).cast("double").alias("y"),
-                        *[F.col(c).cast("double").alias(c) for c in exog]).join(orders.select(*keys, *names), keys)
+                        *[F.col(c).cast("double").alias(c) for c in exog]).join(orders.select(*keys, *names), keys, "left")
     schema = ", ".join([f"{k} string" for k in keys] + [f"{date} date", f"{split} string", "y_real double",
-                                                      "y_pred double", "resid_std double"])
+                                                      "y_pred double", "resid_std double", "reason string"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(date).reset_index(drop=True)
-        o = {k: int(pdf[k].iloc[0]) for k in names}
+        o = None if pdf[names].isna().any(axis=None) else {k: int(pdf[k].iloc[0]) for k in names}
         X = pdf[exog].to_numpy(float) if exog else None
         out = []
         for fit_splits, target_split in ((["train"], "val"), (["train", "val"], "test")):
@@ -166,17 +185,18 @@ def arima_forecast(panel: DataFrame, orders: DataFrame, keys: list[str], target:
             fut = pdf[pdf[split] == target_split]
             if fut.empty:
                 continue
-            m = fit(hist["y"].to_numpy(float), o, None if X is None else X[hist.index])
-            if m is None:
-                continue
-            pred = forecast(hist["y"].to_numpy(float), m, len(fut),
-                            None if X is None else X[hist.index], None if X is None else X[fut.index])
+            m = fit(hist["y"].to_numpy(float), o, None if X is None else X[hist.index]) if o else None
+            pred = [None] * len(fut) if m is None else forecast(
+                hist["y"].to_numpy(float), m, len(fut),
+                None if X is None else X[hist.index], None if X is None else X[fut.index])
             for (_, r), p in zip(fut.iterrows(), pred):
                 row = {k: str(r[k]) for k in keys}
                 row.update({date: r[date], split: target_split, "y_real": float(r["y"]),
-                            "y_pred": float(p), "resid_std": float(np.sqrt(m["sigma2"]))})
+                            "y_pred": None if p is None else float(p),
+                            "resid_std": None if m is None else float(np.sqrt(m["sigma2"])),
+                            "reason": "series too short for the model" if m is None else None})
                 out.append(row)
-        cols = keys + [date, split, "y_real", "y_pred", "resid_std"]
+        cols = keys + [date, split, "y_real", "y_pred", "resid_std", "reason"]
         return pd.DataFrame(out, columns=cols)
 
     return data.groupBy(*keys).applyInPandas(run, schema)

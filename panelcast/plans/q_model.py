@@ -89,8 +89,7 @@ def model_error_band_q(spark, sf_dir):
 def _arima_panel(spark, sf_dir):
     """The filled master panel (every month, not only those past the lag warm-up), split by date."""
     from panelcast.operators.splits import temporal_split
-    m = P.master_panel(spark, sf_dir).filter(F.col("date") < F.to_date(F.lit(T.UNTIL)))
-    return temporal_split(m, T.VAL_START, T.TEST_START)
+    return temporal_split(P.master_panel(spark, sf_dir), T.VAL_START, T.TEST_START)
 
 
 @register("seasonal_arima_grid")

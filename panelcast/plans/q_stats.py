@@ -21,7 +21,7 @@ from panelcast.plans.oracle_panels import feature_names, features_cte, panel_cte
 from panelcast.plans.q_windows import FP
 from panelcast.plans.registry import register
 
-VAL_START, TEST_START, UNTIL = "1999-01-01", "2000-08-01", "2001-08-01"
+VAL_START, TEST_START = "1999-01-01", "2000-08-01"
 N_FOLDS, FOLD_SIZE = 8, 6
 SCALE = 1e6
 COLLINEAR_T, TARGET_CORR_T = 0.9, 0.05
@@ -32,9 +32,9 @@ HORIZON = 12
 
 
 def model_frame(spark, sf_dir):
-    """Feature table without the partial last month, with the split label."""
+    """Feature table with the split label; every month the tables hold."""
     feat = FE.feature_table(P.master_panel(spark, sf_dir), FP)
-    return temporal_split(feat.filter(F.col("date") < F.to_date(F.lit(UNTIL))), VAL_START, TEST_START)
+    return temporal_split(feat, VAL_START, TEST_START)
 
 
 def baseline_predictions(spark, sf_dir, models=None):
@@ -51,7 +51,7 @@ def baseline_predictions(spark, sf_dir, models=None):
 SPLIT_SQL = (f"CASE WHEN date < DATE '{VAL_START}' THEN 'train' "
              f"WHEN date < DATE '{TEST_START}' THEN 'val' ELSE 'test' END")
 MF_SQL = (panel_ctes() + ", " + features_cte(FP)
-          + f", mf AS (SELECT *, {SPLIT_SQL} AS split FROM feat WHERE date < DATE '{UNTIL}')")
+          + f", mf AS (SELECT *, {SPLIT_SQL} AS split FROM feat)")
 
 
 def preds_sql(models=None) -> str:

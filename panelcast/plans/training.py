@@ -24,7 +24,7 @@ from panelcast.operators.splits import temporal_split, walk_forward_folds
 from panelcast.plans import panels as P
 from panelcast.session import cut_lineage, scratch_path
 
-VAL_START, TEST_START, UNTIL = "1999-01-01", "2000-08-01", "2001-08-01"
+VAL_START, TEST_START = "1999-01-01", "2000-08-01"
 PROTECTED = ["demand_lag_1", "demand_lag_2", "demand_ma3"]
 
 
@@ -38,6 +38,7 @@ class RunParams:
     fold_size: int = 6
     horizon: int = 12
     seed: int = 0
+    until: str | None = None        # leave out rows from this date on; all rows by default
     base_trees: MD.TreeParams = field(default_factory=lambda: MD.TreeParams(max_iter=10))
     space: MD.SearchSpace = field(default_factory=lambda: MD.SearchSpace(max_iter=(5, 15)))
 
@@ -51,7 +52,7 @@ def prepared_frame(spark: SparkSession, sf_dir: str, rp: RunParams) -> tuple[Dat
     master = cut_lineage(P.master_panel(spark, sf_dir))
     master, _dropped = FE.drop_collinear(master, P.TARGET, rp.collinear_t, exclude=P.KEYS)
     feat = FE.feature_table(master, FP)
-    feat = cut_lineage(feat.filter(F.col("date") < F.to_date(F.lit(UNTIL))))
+    feat = cut_lineage(feat.filter(F.col("date") < F.to_date(F.lit(rp.until))) if rp.until else feat)
     cands = [c for c in feat.columns if c not in P.KEYS + ["date", P.TARGET]]
     kept = FE.target_corr_table(feat, FP, TEST_START, cands).filter(F.col("corr_abs") >= rp.target_corr_t)
     feature_cols = [r["feature"] for r in kept.orderBy(F.col("corr_abs").desc(), "feature").collect()]
@@ -158,5 +159,5 @@ def load_session(spark: SparkSession, base: str, session_id: str, sf_dir: str) -
     cols = list(meta[0]["feature_cols"])
     model = PipelineModel.load(f"{meta[0]['path']}/model")
     feat = FE.rebuild_features(P.master_panel(spark, sf_dir), FP, cols)
-    feat = temporal_split(feat.filter(F.col("date") < F.to_date(F.lit(UNTIL))), VAL_START, TEST_START)
+    feat = temporal_split(feat, VAL_START, TEST_START)
     return model.transform(feat).select(*P.KEYS, "date", "split", F.col(P.TARGET).alias("y_real"), "y_pred")

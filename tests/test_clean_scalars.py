@@ -89,3 +89,9 @@ def test_melt_inverts_pivot(spark, cells):
     a = sorted((r["date"], r["c"], round(r["v"], 6)) for r in long.collect())
     b = sorted((r["date"], r["c"], round(r["v"], 6)) for r in expect.collect())
     assert a == b
+
+
+def test_trim_text_strips_all_white_space(spark):
+    from panelcast.functions.scalars import trim_text
+    df = spark.createDataFrame([("a\n",), ("\tb",), ("  c d \r\n",), (None,)], "t string")
+    assert [r[0] for r in df.select(trim_text("t")).collect()] == ["a", "b", "c d", None]

@@ -94,3 +94,27 @@ def test_gbt_beats_naive_and_search_and_folds(spark):
     assert 1 <= best.max_iter <= 6
     cv = MD.walk_forward_cv(walk_forward_folds(feat, 3, 6, ["series"]), spec, params, parallel=2)
     assert cv.count() == 3 and cv.filter(F.col("mape").isNull()).count() == 0
+
+
+def test_order_choice_is_free_of_units_and_short_series_stay(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    walk = np.cumsum(rng.normal(size=90))
+    rows = [(s, f"{1990 + i // 12}-{i % 12 + 1:02d}-01", float(v * u)) for s, u in (("a", 1.0), ("b", 1e6), ("c", 1e-6))
+            for i, v in enumerate(walk)] + [("short", f"1990-{i + 1:02d}-01", float(i)) for i in range(8)]
+    df = spark.createDataFrame(rows, "series string, d string, demand double").selectExpr(
+        "series", "to_date(d) date", "demand", "CASE WHEN d < '1996-01-01' AND NOT (series = 'short' AND d >= '1990-06-01') THEN 'train' ELSE 'val' END split")
+    best = SA.best_orders(SA.arima_grid(df.filter("split = 'train'"), ["series"], "demand"), ["series"])
+    order = {r["series"]: r["order_id"] for r in best.collect()}
+    assert order["a"] == order["b"] == order["c"] and "short" not in order
+    out = SA.arima_forecast(df, best, ["series"], "demand").filter("series = 'short'").collect()
+    assert len(out) == 3 and all(r["y_pred"] is None and r["reason"] for r in out)
+
+
+def test_step_features_of_a_short_series(spark):
+    from panelcast.operators.recursive import step_features
+    state = spark.createDataFrame([("a", [5.0, 7.0], "2000-02-01"), ("b", [float(i) for i in range(40)], "2000-02-01")],
+                                  "series string, buf array<double>, d string").selectExpr("series", "buf", "to_date(d) last_date")
+    got = {r["series"]: r for r in step_features(state, 1, ["demand_lag_1", "demand_lag_3", "demand_ma3"], "demand").collect()}
+    assert (got["a"]["demand_ma3"], got["a"]["demand_lag_1"], got["a"]["demand_lag_3"]) == (6.0, 7.0, None)
+    assert (got["b"]["demand_ma3"], got["b"]["demand_lag_3"]) == (38.0, 37.0)
