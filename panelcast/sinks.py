@@ -71,13 +71,9 @@ def normalise_for_write(df: DataFrame, string_cols: list[str] | None = None) ->
     return out.withColumns(exprs) if exprs else out
 
 
-def export_table(df: DataFrame, path: str, max_rows: int = 1_000_000) -> str:
-    """Write a small result (a report, a forecast table) as one CSV file with a header.
-
-    The single output file is only allowed for results whose size is bounded by
-    the report itself; the bound is checked before writing."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"export_table is for bounded reports; got more than {max_rows} rows")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_table(df: DataFrame, path: str, single_file: bool = False) -> str:
+    """Write a result as CSV with a header, all rows whatever their number; one file
+    per task, or a single file (written by one task) on request, for small reports."""
+    out = df.coalesce(1) if single_file else df
+    out.write.mode("overwrite").option("header", True).csv(path)
     return path

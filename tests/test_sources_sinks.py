@@ -18,12 +18,11 @@ def test_normalise_for_write(spark):
     assert rows == [("1", None), ("2", 3.5)]
 
 
-def test_export_table_is_bounded(spark):
-    df = spark.range(5)
-    with pytest.raises(ValueError):
-        K.export_table(df, scratch_path(spark, "t-export"), max_rows=3)
-    path = K.export_table(df, scratch_path(spark, "t-export"), max_rows=10)
-    assert spark.read.option("header", True).csv(path).count() == 5
+def test_export_table_writes_every_row(spark):
+    df = spark.range(5).repartition(3)
+    for single in (False, True):
+        path = K.export_table(df, scratch_path(spark, "t-export"), single_file=single)
+        assert spark.read.option("header", True).csv(path).count() == 5
 
 
 def test_latest_snapshot_reads_only_newest(spark):
