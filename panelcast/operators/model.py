@@ -28,7 +28,7 @@ FEATURES_VEC = "features_vec"
 
 @dataclass
 class TreeParams:
-    max_iter: int = 20
+    max_iter: int = 200
     max_depth: int = 3
     step_size: float = 0.05
     subsampling_rate: float = 0.8
@@ -54,7 +54,7 @@ class TreeParams:
 @dataclass
 class SearchSpace:
     """Ranges of the random search (the reference's boosted-tree space on MLlib knobs)."""
-    max_iter: tuple[int, int] = (10, 40)
+    max_iter: tuple[int, int] = (50, 600)
     max_depth: tuple[int, int] = (2, 5)
     step_size: tuple[float, float] = (0.005, 0.1)      # log-uniform
     subsampling_rate: tuple[float, float] = (0.5, 0.9)
@@ -207,7 +207,12 @@ def permutation_importance(model: PipelineModel, val: DataFrame, spec: TrainSpec
     imp = perm.groupBy(F.col("_feat").alias("feature")).agg(
         F.avg(F.col("mape") - F.col("base")).alias("importance_mean"),
         F.stddev_pop(F.col("mape") - F.col("base")).alias("importance_std"))
-    kept = [r["feature"] for r in imp.filter(F.col("importance_mean") > 0)
-            .orderBy(F.col("importance_mean").desc(), "feature").collect()]
-    forced = [f for f in (protected or []) if f in feats and f not in kept]
-    return imp, forced + kept
+    named = F.array(*[F.lit(f) for f in protected or []]).cast("array<string>")
+    useful, score = F.col("importance_mean") > 0, F.col("importance_mean")
+    place = F.nullif(F.array_position(named, F.col("feature")), F.lit(0))
+    ranked = imp.select("feature", useful.alias("useful"), score.alias("score"),
+                        F.when(~useful, place).alias("place"))
+    # protected features that would go are kept in the order they are named, then the useful ones by score
+    chosen = ranked.filter(F.col("useful") | F.col("place").isNotNull()).orderBy(
+        F.col("place").asc_nulls_last(), F.col("score").desc(), "feature")
+    return imp, [r["feature"] for r in chosen.collect()]

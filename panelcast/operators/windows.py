@@ -89,7 +89,7 @@ def sort_multi(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def top_k(df: DataFrame, score: str, k: int, descending: bool = True) -> DataFrame:
-    """Top k rows by a score (global; a bounded report)."""
+    """Top k rows by a score (global; a bounded report); ties in the order of the other columns."""
     order = F.col(score).desc() if descending else F.col(score).asc()
-    return df.orderBy(order).limit(k)
+    return df.orderBy(order, *[F.col(f"`{c}`") for c in df.columns if c != score]).limit(k)
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.scalars import to_month
 from panelcast.operators.joins import left_merge_chain
-from panelcast.operators.monthly import month_calendar, monthly_mean, monthly_pivot
+from panelcast.operators.monthly import fill_months, monthly_mean, monthly_pivot
 from panelcast.operators.windows import ffill_bfill
 from panelcast.session import cut_lineage, table_path
 
@@ -112,7 +112,7 @@ def features_from_silver(o: DataFrame, li: DataFrame) -> list[DataFrame]:
     tot = li.groupBy("date").agg(
         F.try_divide(F.round(F.sum("price_sum"), 2), F.sum("price_n")).alias("price_mean"),
         F.try_divide(F.round(F.sum("disc_sum"), 2), F.sum("disc_n")).alias("discount_mean"))
-    price = month_calendar(tot, [], "date").join(tot, "date", "left")
+    price = fill_months(tot)
     rev = monthly_pivot(o, "date", "series", "revenue", PRIORITIES, names=PRIORITY_COLS, scale=2)
     cnt = o.select("series", "date", "n_orders")
     return [qty, price, rev, cnt]

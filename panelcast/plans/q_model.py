@@ -1,8 +1,8 @@
 """Registered queries: fitted models, search, folds, importances, forecasts, sessions.
 
 These are model fits, so they are checked by rows (and by the tests), not by
-SQL. Fit sizes are kept small (few trees, few trials) so that they run at the
-check scale; the plans are the same at any size.
+SQL. They pass ``RunParams.quick()``: few trees, trials and shuffles, on all rows;
+the library's own defaults are the full budgets.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from panelcast.plans import panels as P
 from panelcast.plans import training as T
 from panelcast.plans.registry import register
 
-RP = T.RunParams()
+RP = T.RunParams.quick()
 
 
 def _trained(spark, sf_dir, **kw):
@@ -64,7 +64,7 @@ def permutation_importance_q(spark, sf_dir):
     df, cols = T.prepared_frame(spark, sf_dir, RP)
     spec = T.spec_for(cols, "w_train", RP)
     model = MD.fit_boosted_trees(df.filter(F.col("split") == "train"), spec, RP.base_trees)
-    imp, _kept = MD.permutation_importance(model, df.filter(F.col("split") == "val"), spec, repeats=5,
+    imp, _kept = MD.permutation_importance(model, df.filter(F.col("split") == "val"), spec, repeats=RP.repeats,
                                            protected=T.PROTECTED)
     return imp
 

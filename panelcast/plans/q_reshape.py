@@ -10,6 +10,7 @@ from panelcast.plans import panels as P
 from panelcast.plans import sqlgen as S
 from panelcast.plans.oracle_panels import M_ORDER, M_SHIP, panel_ctes
 from panelcast.plans.registry import register
+from panelcast.session import cut_lineage
 
 SPLIT_DATE = "1998-01-01"
 PIVOT_START = "1996-01-01"
@@ -63,11 +64,9 @@ FROM cal c LEFT JOIN agg a ON c.l_returnflag = a.l_returnflag AND c.date = a.dat
 def zero_fill_then_mean_q(spark, sf_dir):
     li = P.load(spark, sf_dir, "lineitem").withColumn(
         "disc", F.nullif(F.col("l_discount"), F.lit(0.0)))
-    zf = MO.zero_fill_then_mean(li, "l_shipdate", "disc", keys=["l_returnflag"],
-                                out_names=["mean_zero_filled"], scale=2)
-    plain = MO.monthly_mean(li, "l_shipdate", "disc", keys=["l_returnflag"],
-                            out_names=["mean_skip_null"], scale=2)
-    return zf.join(plain, ["l_returnflag", "date"], "left")
+    return MO.monthly_mean(li, "l_shipdate", ["disc", "disc"], keys=["l_returnflag"],
+                           out_names=["mean_zero_filled", "mean_skip_null"],
+                           zero_fill=[True, False], scale=2)
 
 
 @register("two_period_mean_union", sql=f"""
@@ -113,10 +112,8 @@ SELECT * FROM (
 WHERE date > DATE '{PIVOT_START}'""")
 def monthly_pivot_filled_q(spark, sf_dir):
     li = P.load(spark, sf_dir, "lineitem")
-    out = MO.monthly_pivot(li, "l_shipdate", "l_linestatus", "l_quantity", _LS,
-                           keys=["l_returnflag"], names=_LS_COLS)
-    out = _round(out, _LS_COLS, 2)
-    return out.filter(F.col("date") > F.lit(PIVOT_START)).fillna(0.0, subset=_LS_COLS)
+    return MO.monthly_pivot_filled(li, "l_shipdate", "l_linestatus", "l_quantity", _LS, PIVOT_START,
+                                   keys=["l_returnflag"], names=_LS_COLS, scale=2)
 
 
 # -- melt: the revenue-by-priority pivot back to long form (NULL cells kept)
@@ -137,10 +134,9 @@ UNION ALL SELECT series, date, CAST(n_orders AS DOUBLE) AS value FROM cnt"""
 
 
 def _long_parts(spark, sf_dir):
-    o = P.load(spark, sf_dir, "orders")
-    t = P.demand_target(o).withColumnRenamed("demand", "value")
-    c = P.order_counts(o).select("series", "date", F.col("n_orders").cast("double").alias("value"))
-    return t, c
+    o = cut_lineage(P.orders_silver(P.load(spark, sf_dir, "orders")))     # key-month rows; both parts read these
+    return (o.select("series", "date", F.col("revenue").alias("value")),
+            o.select("series", "date", F.col("n_orders").cast("double").alias("value")))
 
 
 @register("union_all", sql=_UNION_SQL)

@@ -30,17 +30,25 @@ PROTECTED = ["demand_lag_1", "demand_lag_2", "demand_ma3"]
 
 @dataclass
 class RunParams:
+    """Defaults are full training budgets; ``quick`` holds the small ones of the registered queries."""
     collinear_t: float = 0.9
     target_corr_t: float = 0.05
     lam: float = 0.95
-    n_trials: int = 2
+    n_trials: int = 50
     n_folds: int = 8
     fold_size: int = 6
     horizon: int = 12
     seed: int = 0
     until: str | None = None        # leave out rows from this date on; all rows by default
-    base_trees: MD.TreeParams = field(default_factory=lambda: MD.TreeParams(max_iter=10))
-    space: MD.SearchSpace = field(default_factory=lambda: MD.SearchSpace(max_iter=(5, 15)))
+    base_trees: MD.TreeParams = field(default_factory=lambda: MD.TreeParams())
+    space: MD.SearchSpace = field(default_factory=MD.SearchSpace)
+    repeats: int = 50               # shuffles of each feature in the permutation importance
+
+    @classmethod
+    def quick(cls, **changes) -> RunParams:
+        """Small work budgets (2 trials, 5 to 15 trees, 5 shuffles); all rows are used all the same."""
+        small = dict(n_trials=2, base_trees=MD.TreeParams(max_iter=10), space=MD.SearchSpace(max_iter=(5, 15)), repeats=5)
+        return cls(**(small | changes))
 
 
 FP = FE.FeatureParams()

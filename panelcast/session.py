@@ -2,7 +2,7 @@
 
 Every write that cuts lineage or lands an intermediate file goes under the
 folder the cluster names in ``spark.checkpoint.dir``. A folder is only made up
-here when the session has none (tests, a bare local run).
+here when a local session has none (tests); on a cluster a missing one is an error.
 """
 
 from __future__ import annotations
@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="panelcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -94,3 +94,21 @@ def test_left_chain_keeps_anchor_count_on_unique_dates(spark, anchor_m, feat_m):
     out = left_merge_chain(anchor, [feat], keys=["series"])
     assert out.count() == len(anchor_m)
     assert out.filter("f is not null").count() == len(anchor_m & feat_m)
+
+
+def test_calendar_fill_keeps_null_keys_and_parts(spark):
+    rows = [("a", dt.date(2020, 1, 5), 1.0), ("a", dt.date(2020, 4, 1), 2.0), (None, dt.date(2020, 2, 1), 3.0),
+            (None, dt.date(2020, 3, 9), 4.0), ("a", None, 9.0)]
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    got = {(r["k"], r["date"].month): r["v"] for r in MO.monthly_sum(df, "d", "v", keys=["k"]).collect()}
+    assert got == {("a", 1): 1.0, ("a", 2): 0.0, ("a", 3): 0.0, ("a", 4): 2.0, (None, 2): 3.0, (None, 3): 4.0}
+    parts = MO.two_period_mean_union(df, "d", "v", "2020-02-15").collect()
+    assert sorted((r["date"].month, r["v"]) for r in parts) == [(1, 1.0), (2, 3.0), (3, 4.0), (4, 2.0)]
+    assert MO.monthly_sum(df.limit(0), "d", "v", keys=["k"]).count() == 0
+
+
+def test_pivot_fails_on_a_category_that_is_not_listed(spark):
+    df = spark.createDataFrame([(dt.date(2020, 1, 1), "x", 1.0), (dt.date(2020, 1, 1), "new", 2.0)], "d date, c string, v double")
+    with pytest.raises(Exception, match="category not listed: new"):
+        MO.monthly_pivot(df, "d", "c", "v", ["x"]).collect()
+    assert MO.monthly_pivot(df, "d", "c", "v", ["x", "new"]).collect()[0]["new"] == 2.0

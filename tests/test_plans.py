@@ -32,3 +32,11 @@ def test_no_python_in_relational_queries(spark, sf_small):
     for name in ("ffill_bfill", "correlation_matrix", "feature_table", "hierarchical_grid_to_long"):
         plan = executed(q[name](spark, sf_small))
         assert not re.search(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas", plan), name
+
+
+def test_monthly_and_union_queries_scan_their_facts_once(spark, sf_small):
+    q = E.queries()
+    for name in ("monthly_sum", "monthly_mean", "zero_fill_then_mean", "two_period_mean_union"):
+        assert len(re.findall(r"FileScan parquet", executed(q[name](spark, sf_small)))) == 1, name
+    for name in ("union_all", "union_tagged"):
+        assert "FileScan parquet" not in executed(q[name](spark, sf_small)), name      # both read the stored silver rows
