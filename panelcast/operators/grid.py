@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.scalars import clean_year, make_month, month_name_to_number, numeric_coerce, trim_text
+from panelcast.session import cut_lineage
 
 FILE = "file"
 
@@ -112,14 +113,6 @@ def hierarchical_grid_to_long(grid: DataFrame, spec_words: list[str], keywords:
 
 # ---------------------------------------------------------------- plain headers
 
-def header_row(grid: DataFrame, row_idx: int) -> list:
-    """The cells of one header row (a single row reaches the driver)."""
-    r = grid.filter(F.col("row_idx") == row_idx).limit(1).collect()
-    if not r:
-        raise ValueError(f"no row {row_idx} in the landed grid")
-    return [r[0][c] for c in grid_columns(grid)]
-
-
 def promote_header(grid: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The first row (lowest ``file``, ``row_idx``) supplies the column names and
     is dropped; header rows that other concatenated files embed are left for
@@ -135,30 +128,51 @@ def promote_header(grid: DataFrame, keep: list[str] | None = None) -> DataFrame:
         *keep, *[F.col(c).alias(str(n)) for c, n in zip(cols, names) if n is not None])
 
 
-def block_header_names(header: list, variables: list[str], first_name: str = "Date") -> list[str]:
-    """Two-level merged header -> ``Block_Variable`` names.
-
-    The first column is the date; a non-empty cell opens a block; the variable
-    index cycles every ``len(variables)`` columns."""
-    names, block, k = [first_name], None, 0
-    for cell in header[1:]:
-        if cell is not None and str(cell).strip():
-            block = str(cell).strip()
-        if block is None:
-            raise ValueError("no block name before the first variable column")
-        names.append(f"{block}_{variables[k]}")
-        k = (k + 1) % len(variables)
-    return names
+def block_header_map(grid: DataFrame, header_idx: int, variables: list[str],
+                     first_name: str = "Date") -> DataFrame:
+    """``(file, col_idx, name)`` of a two-level merged header, for every file by itself.
+
+    Column 0 is ``first_name``. A block opens at a cell with text and covers one column
+    for each variable, named by their position in the sheet. ``name`` is NULL for a
+    column before the first block, or beyond a block with text in the row below;
+    blank columns beyond a block are left out (sheets can differ in width)."""
+    at = F.col("row_idx") - F.lit(header_idx)
+    head = cells(grid.filter(at.between(0, 1))).groupBy(FILE, "col_idx").agg(
+        F.max(F.when(at == 0, F.nullif(trim_text("cell"), F.lit("")))).alias("_top"),
+        F.max(F.when(at == 1, F.nullif(trim_text("cell"), F.lit("")))).alias("_below"))
+    block = F.when((F.col("col_idx") > 0) & F.col("_top").isNotNull(),
+                   F.struct(F.col("_top").alias("text"), F.col("col_idx").alias("from")))
+    opened = header_ffill(head.withColumn("_block", block), "_block", "_block")
+    n = len(variables)
+    covered = F.col("col_idx") - F.col("_block.from") < n
+    variable = F.get(F.array(*[F.lit(v) for v in variables]), F.pmod(F.col("col_idx") - 1, F.lit(n)))
+    named = F.when(F.col("col_idx") == 0, F.lit(first_name)).when(covered, F.concat_ws("_", "_block.text", variable))
+    blank = (F.col("col_idx") > 0) & F.col("_block").isNotNull() & ~covered & F.col("_below").isNull()
+    return opened.filter(~F.coalesce(blank, F.lit(False))).select(FILE, "col_idx", named.alias("name"))
 
 
 def block_header_rename(grid: DataFrame, header_idx: int, variables: list[str],
                         first_name: str = "Date") -> DataFrame:
-    """Skip the rows up to the merged header, name the columns ``Block_Variable``
-    and drop the residual header row that follows it."""
-    names = block_header_names(header_row(grid, header_idx), variables, first_name)
-    cols = grid_columns(grid)
-    return grid.filter(F.col("row_idx") > header_idx + 1).select(
-        "row_idx", *[F.col(c).alias(n) for c, n in zip(cols, names)])
+    """Rows below a two-level header under ``Block_Variable`` names.
+
+    Every file is read by its own header; a file without one of the names has NULL
+    there. The residual header row after the merged one is dropped. Only distinct
+    column names reach the driver. A file with a column that no block names, or with
+    the same block twice, is an error."""
+    header = cut_lineage(block_header_map(grid, header_idx, variables, first_name))
+    per_name = header.groupBy(FILE, "name").agg(F.count(F.lit(1)).alias("n"), F.min("col_idx").alias("at"))
+    bad = per_name.filter(F.col("name").isNull() | (F.col("n") > 1)).limit(1).collect()
+    if bad:
+        raise ValueError(f"{bad[0][FILE]}: " + ("no block name for a column"
+                         if bad[0]["name"] is None else f"two columns named {bad[0]['name']}"))
+    order = per_name.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
+    if not order:
+        raise ValueError(f"no row {header_idx} in the landed grid")
+    places = header.groupBy(FILE).agg(F.map_from_entries(F.collect_list(F.struct("name", "col_idx"))).alias("_at"))
+    line = F.array(*[F.col(c) for c in grid_columns(grid)])
+    body = grid.filter(F.col("row_idx") > header_idx + 1).withColumn("_line", line).join(places, FILE)
+    return body.select(FILE, "row_idx", *[F.get("_line", F.try_element_at("_at", F.lit(r["name"]))).alias(r["name"])
+                                          for r in order])
 
 
 def skip_rows(grid: DataFrame, n: int) -> DataFrame:

@@ -53,13 +53,20 @@ def test_header_locate_rules(spark):
 
 
 def test_block_header_rename_and_promote(spark):
-    assert G.block_header_names([None, "CARS", None, "TRUCKS", None], ["Prod", "Sales"]) == [
+    wide = grid_df(spark, [[None, "CARS", None, "TRUCKS\n", None]], 5)
+    assert [r["name"] for r in G.block_header_map(wide, 0, ["Prod", "Sales"]).orderBy("col_idx").collect()] == [
         "Date", "CARS_Prod", "CARS_Sales", "TRUCKS_Prod", "TRUCKS_Sales"]
-    with pytest.raises(ValueError):
-        G.block_header_names([None, None, "X"], ["a"])
+    with pytest.raises(ValueError, match="no block name"):
+        G.block_header_rename(grid_df(spark, [[None, None, "X"]], 3), 0, ["a"])
+    with pytest.raises(ValueError, match="two columns"):
+        G.block_header_rename(grid_df(spark, [[None, "X", "X"]], 3), 0, ["a"])
     rows = [["junk"], ["junk"], ["junk"], [None, "CARS", None], [None, "Prod", "Sales"], ["2020-01-01", "1", "2"]]
     named = G.block_header_rename(grid_df(spark, rows, 3), 3, ["Prod", "Sales"])
-    assert named.columns == ["row_idx", "Date", "CARS_Prod", "CARS_Sales"] and named.count() == 1
+    assert named.columns == ["file", "row_idx", "Date", "CARS_Prod", "CARS_Sales"] and named.count() == 1
+    other = grid_df(spark, [*rows[:3], [None, "BUSES", None], [None, "Prod", "Sales"], ["2020-01-01", "7", "8"]], 3)
+    both = G.block_header_rename(grid_df(spark, rows, 3).union(other.replace("sheet", "sheet2", subset=["file"])), 3, ["Prod", "Sales"])
+    got = {r["file"]: (r["CARS_Prod"], r["CARS_Sales"], r["BUSES_Prod"], r["BUSES_Sales"]) for r in both.collect()}
+    assert got == {"sheet": ("1", "2", None, None), "sheet2": (None, None, "7", "8")}     # each file by its own header
     resp = grid_df(spark, [["code", "value"], ["1", "5"]], 2).unionByName(
         grid_df(spark, [["code", "value"], ["2", "6"]], 2).replace("sheet", "sheet2", subset=["file"]))
     p = G.promote_header(resp)
