@@ -30,11 +30,10 @@ def _performance_grid(spark, sf_dir):
 
 
 def _sheet_sql() -> str:
-    """The landed performance sheet rebuilt in SQL (DuckDB ``PIVOT`` names the columns)."""
+    """The filled cells of the landed performance sheet, rebuilt in SQL."""
     from panelcast.functions.scalars import MONTH_ABBREVIATIONS
     pt = "[" + ", ".join(f"'{m}'" for m in MONTH_ABBREVIATIONS) + "]"
-    return f"""SELECT 'performance_sheet' AS file, * FROM (PIVOT (
-WITH agg AS (SELECT o_orderstatus, o_orderpriority, {M_ORDER} AS month, round(sum(o_totalprice), 2) AS v
+    return f"""WITH agg AS (SELECT o_orderstatus, o_orderpriority, {M_ORDER} AS month, round(sum(o_totalprice), 2) AS v
              FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, 3),
 b AS (SELECT min(month) AS lo, max(month) AS hi FROM agg),
 cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
@@ -57,16 +56,19 @@ cells AS (
   UNION ALL SELECT l.row_idx, c.col_idx,
          CASE WHEN v.kind = 0 AND v.month = (SELECT lo FROM b) THEN '{L.JUNK_CELL}' ELSE printf('%.2f', v.v) END
   FROM vals v JOIN lay l ON v.kind = l.kind AND v.grp = l.grp AND v.sub = l.sub JOIN cal2 c ON v.month = c.month)
-SELECT * FROM cells) ON 'col_' || col_idx USING first(text) GROUP BY row_idx)"""
+SELECT 'performance_sheet' AS file, row_idx, col_idx, text AS cell FROM cells WHERE text IS NOT NULL"""
 
 
 @register("scan_landed_grid", sql=_sheet_sql())
 def scan_landed_grid_q(spark, sf_dir):
-    return _performance_grid(spark, sf_dir)
+    """Every filled cell of the landed sheet in long form (its width follows the data)."""
+    return G.cells(_performance_grid(spark, sf_dir)).filter(F.col("cell").isNotNull())
 
 
 @register("grid_header_locate", sql=f"""
-WITH sheet AS ({_sheet_sql()}),
+WITH sheet AS (SELECT file, row_idx, max(CASE WHEN col_idx = 0 THEN cell END) AS col_0,
+                      max(CASE WHEN col_idx = 1 THEN cell END) AS col_1
+               FROM ({_sheet_sql()}) GROUP BY file, row_idx),
 g AS (SELECT file, row_idx,
              coalesce(contains(lower(col_0), 'especifica') AND contains(lower(col_0), 'specification'), false) AS spec,
              coalesce(contains(lower(col_1), 'jan'), false) AS mon FROM sheet),

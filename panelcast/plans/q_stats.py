@@ -244,12 +244,17 @@ def _feature_list():
 
 
 @register("drop_collinear", sql=panel_ctes() + ", " + features_cte(FP)
-          + f""", up AS ({_corr_pairs_sql(_feature_list(), [], 'feat')})
-SELECT col_j AS column FROM up WHERE abs(corr) > {COLLINEAR_T_DATA} GROUP BY col_j""")
+          + f""", up AS ({_corr_pairs_sql(_feature_list(), [], 'feat')}),
+gone AS (SELECT col_j FROM up WHERE abs(corr) > {COLLINEAR_T_DATA} GROUP BY col_j)
+SELECT * FROM (""" + " UNION ALL ".join(f"SELECT '{c}' AS column, count({c}) AS n_values FROM feat" for c in _feature_list())
+          + ') WHERE "column" NOT IN (SELECT col_j FROM gone)')
 def drop_collinear_q(spark, sf_dir):
     feat = FE.feature_table(P.master_panel(spark, sf_dir), FP)
-    return FE.collinear_columns(feat.select(*P.KEYS, "date", P.TARGET, *_feature_list()),
+    kept, _ = FE.drop_collinear(feat.select(*P.KEYS, "date", P.TARGET, *_feature_list()),
                                 P.TARGET, COLLINEAR_T_DATA, exclude=P.KEYS)
+    cols = [c for c in _feature_list() if c in kept.columns]
+    counts = kept.agg(*[F.count(c).alias(c) for c in cols])
+    return counts.unpivot([], cols, "column", "n_values")
 
 
 @register("filter_by_target_corr", sql=panel_ctes() + ", " + features_cte(FP)
