@@ -36,8 +36,12 @@ RULES = (
     Rule("symbols", "n_symbols", "n_words", None, 0.25),
     Rule("exclamations", "n_exclaims", "n_words", None, 0.5),
     Rule("stop_words", "n_stop_words", "n_words", 0.02, None),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 0.3),
+    Rule("duplicate_lines", "n_dup_chars", "n_line_chars", None, 0.3),
 )
+#: The rules of the oracle SQL, which still counts repeated lines instead of weighing them.
+ORACLE_RULES = (*RULES[:-1], Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 0.3))
+METRICS = ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_stop_words", "n_lines", "n_dup_lines", "n_line_chars",
+           "n_dup_chars", "n_repeat_words")
 #: The base rules of the contract.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 50, 50, 3
 _INDEX_BITS = 20
@@ -101,13 +105,17 @@ def _count_of(text: Column, characters: str) -> Column:
 def _metrics(text: Column, words: Column) -> Column:
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
     stop = F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS))
-    return let(lines, lambda ls: F.struct(
+    def size(ls: Column) -> Column:
+        return F.char_length(F.array_join(ls, "")).cast("long")
+
+    return let(lines, lambda ls: let(F.array_distinct(ls), lambda once: F.struct(
         F.size(words).cast("long").alias("n_words"),
         F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
         _count_of(text, SYMBOLS).alias("n_symbols"), _count_of(text, "!").alias("n_exclaims"),
         F.size(stop).cast("long").alias("n_stop_words"), F.size(ls).cast("long").alias("n_lines"),
-        (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
-        _repeat_words(words).alias("n_repeat_words")))
+        (F.size(ls) - F.size(once)).cast("long").alias("n_dup_lines"),
+        size(ls).alias("n_line_chars"), (size(ls) - size(once)).alias("n_dup_chars"),
+        _repeat_words(words).alias("n_repeat_words"))))
 
 
 def compile_rules(metrics: Column, rules=RULES) -> Column:
@@ -126,8 +134,7 @@ def verdict(text: Column, rules=RULES) -> Column:
     """Struct of the metrics, base_failed and kept, for a text column."""
     def judged(m: Column) -> Column:
         failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
-        names = ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words")
-        return F.struct(*[m[n].alias(n) for n in names], failed.alias("base_failed"),
+        return F.struct(*[m[n].alias(n) for n in METRICS], failed.alias("base_failed"),
                         (~failed & compile_rules(m, rules)).alias("kept"))
 
     return let(text, lambda t: let(_words(t), lambda w: let(_metrics(t, w), judged)))
@@ -169,7 +176,7 @@ FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 """
 
 
-def oracle_sql(rules=RULES) -> str:
+def oracle_sql(rules=ORACLE_RULES) -> str:
     parts = []
     for r in rules:
         ratio = f"(CASE WHEN {r.per} > 0 THEN {r.metric}::DOUBLE / {r.per} ELSE 0 END)"

@@ -152,6 +152,19 @@ def test_quality_metrics(docs, no_docs, spark):
     assert quality.keep_good(docs).columns == docs.columns and quality.keep_good(no_docs).count() == 0
 
 
+def test_clean_short_documents_keep_a_repeated_line(spark):
+    sf = "/root/testdata/sf0.1"
+    good = [r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1 and doc_id in (30, 962)").collect()]
+    rows = spark.read.parquet(f"{sf}/documents.parquet").filter(f"doc_id in ({','.join(map(str, good))})")
+    got = [(r["n_dup_lines"] / r["n_lines"] > 0.3, r["kept"]) for r in quality.score_quality(rows).collect()]
+    assert len(good) == 2 and got == [(True, True)] * 2
+    line, rest = " ".join(f"longish{i:07}" for i in range(14)), " ".join(f"of {i}" for i in range(10, 40))
+    weighed = spark.createDataFrame([(1, f"{line}\n{line}\n{rest}", "en")], "doc_id long, text string, lang string")
+    made = quality.score_quality(weighed).first()
+    assert (made["n_dup_chars"], made["n_line_chars"]) == (len(line), 2 * len(line) + len(rest))
+    assert (made["base_failed"], made["kept"]) == (False, False)
+
+
 def test_long_texts_take_the_unpacked_path(docs, monkeypatch):
     short = {r["doc_id"]: r["n_repeat_words"] for r in quality.score_quality(docs).collect()}
     monkeypatch.setattr(quality, "_INDEX_BITS", 4)
