@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import whole_text
 
 SPACE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
-#: Frequent function words of the corpus languages (fixed values): en, de, fr, es.
+#: Languages with listed function words, and their frequent function words (fixed values).
+STOP_LANGS = ("en", "de", "fr", "es")
 STOP_WORDS = ("the of and to in a is that for it was on are as with be this by from or an at not "
               "der die das und ist von zu mit den ein eine auf für nicht sich des im dem als "
               "le la les des et de du un une est dans que pour qui sur pas au avec par "
@@ -29,13 +30,14 @@ class Rule:
     per: str
     least: float | None = None
     most: float | None = None
+    langs: tuple[str, ...] | None = None    # the rule holds for texts of these languages only
 
 
 RULES = (
     Rule("word_length", "word_chars", "n_words", 2.0, 15.0),
     Rule("symbols", "n_symbols", "n_words", None, 0.25),
     Rule("exclamations", "n_exclaims", "n_words", None, 0.5),
-    Rule("stop_words", "n_stop_words", "n_words", 0.02, None),
+    Rule("stop_words", "n_stop_words", "n_words", 0.02, None, STOP_LANGS),
     Rule("duplicate_lines", "n_dup_chars", "n_line_chars", None, 0.3),
 )
 #: The rules of the oracle SQL, which still counts repeated lines instead of weighing them.
@@ -118,41 +120,49 @@ def _metrics(text: Column, words: Column) -> Column:
         _repeat_words(words).alias("n_repeat_words"))))
 
 
-def compile_rules(metrics: Column, rules=RULES) -> Column:
-    """True where every rule holds; a ratio over nothing counts as zero."""
+def compile_rules(metrics: Column, rules=RULES, lang: Column | None = None) -> Column:
+    """True where every rule holds; a ratio over nothing counts as zero. A rule of some
+    languages holds for every text whose language is another one or not known."""
+    spoken = F.lit(None).cast("string") if lang is None else F.split(F.lower(F.trim(lang.cast("string"))), "[-_]", -1)[0]
     ok = F.lit(True)
     for r in rules:
+        bound = F.lit(True)
         ratio = F.when(metrics[r.per] > 0, metrics[r.metric] / metrics[r.per]).otherwise(F.lit(0.0))
         if r.least is not None:
-            ok = ok & (ratio >= r.least)
+            bound = bound & (ratio >= r.least)
         if r.most is not None:
-            ok = ok & (ratio <= r.most)
+            bound = bound & (ratio <= r.most)
+        ok = ok & (bound if r.langs is None else bound | ~F.coalesce(spoken.isin(*r.langs), F.lit(False)))
     return ok
 
 
-def verdict(text: Column, rules=RULES) -> Column:
-    """Struct of the metrics, base_failed and kept, for a text column."""
+def verdict(text: Column, rules=RULES, lang: Column | None = None) -> Column:
+    """Struct of the metrics, base_failed and kept, for a text column and that of its language."""
     def judged(m: Column) -> Column:
         failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
         return F.struct(*[m[n].alias(n) for n in METRICS], failed.alias("base_failed"),
-                        (~failed & compile_rules(m, rules)).alias("kept"))
+                        (~failed & compile_rules(m, rules, lang)).alias("kept"))
 
     return let(text, lambda t: let(_words(t), lambda w: let(_metrics(t, w), judged)))
 
 
+def _lang(docs: DataFrame) -> Column | None:
+    return F.col("lang") if "lang" in docs.columns else None
+
+
 def score_quality(docs: DataFrame, rules=RULES) -> DataFrame:
     """doc_id, the metrics, base_failed, kept: one row per row of ``docs``.
 
     Null and empty texts have no words and fail the base rule. Repeated rows each
-    keep a row; other columns are ignored.
+    keep a row; other columns than ``lang`` (where there is one) are ignored.
     """
-    judged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), verdict(whole_text(), rules).alias("q"))
+    judged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), verdict(whole_text(), rules, _lang(docs)).alias("q"))
     return judged.select("doc_id", "q.*")
 
 
 def keep_good(docs: DataFrame, rules=RULES) -> DataFrame:
     """The rows of ``docs`` whose text is kept, all columns as they are."""
-    return docs.filter(verdict(whole_text(), rules)["kept"])
+    return docs.filter(verdict(whole_text(), rules, _lang(docs))["kept"])
 
 
 ORACLE = """
@@ -178,7 +188,7 @@ FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 
 def oracle_sql(rules=ORACLE_RULES) -> str:
     parts = []
-    for r in rules:
+    for r in rules:     # the lists cover the languages of the given tables, so SQL asks for none
         ratio = f"(CASE WHEN {r.per} > 0 THEN {r.metric}::DOUBLE / {r.per} ELSE 0 END)"
         parts += [f"{ratio} >= {r.least}"] if r.least is not None else []
         parts += [f"{ratio} <= {r.most}"] if r.most is not None else []

@@ -165,6 +165,15 @@ def test_clean_short_documents_keep_a_repeated_line(spark):
     assert (made["base_failed"], made["kept"]) == (False, False)
 
 
+def test_languages_without_stop_words_are_kept(spark):
+    text = " ".join(f"слово{i} город{i} река{i}" for i in range(30))
+    rows = [(1, text, "ru"), (2, text, None), (3, text, "en"), (4, text, "EN-gb"), (5, "# " * 60 + text, "ru")]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["kept"] for r in quality.score_quality(made).collect()} == {1: True, 2: True, 3: False, 4: False, 5: False}
+    assert {r["doc_id"] for r in quality.keep_good(made).collect()} == {1, 2}
+    assert quality.score_quality(made.drop("lang")).filter("kept").count() == 4
+
+
 def test_long_texts_take_the_unpacked_path(docs, monkeypatch):
     short = {r["doc_id"]: r["n_repeat_words"] for r in quality.score_quality(docs).collect()}
     monkeypatch.setattr(quality, "_INDEX_BITS", 4)
