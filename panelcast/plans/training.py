@@ -30,7 +30,7 @@ PROTECTED = ["demand_lag_1", "demand_lag_2", "demand_ma3"]
 
 @dataclass
 class RunParams:
-    """Defaults are full training budgets; ``quick`` holds the small ones of the registered queries."""
+    """Defaults are full training budgets, which the registered queries run on; ``quick`` holds small ones for trials."""
     collinear_t: float = 0.9
     target_corr_t: float = 0.05
     lam: float = 0.95

@@ -75,6 +75,12 @@ def test_forecast_state_continues_trend(spark):
     assert r["date"] == dt.date(2020, 7, 1)
 
 
+def test_registered_model_queries_run_on_the_full_budgets():
+    from panelcast.plans import q_model, training
+    assert q_model.RP == training.RunParams()
+    assert (q_model.RP.n_trials, q_model.RP.space.max_iter, q_model.RP.base_trees.max_iter, q_model.RP.repeats) == (50, (50, 600), 200, 50)
+
+
 def test_gbt_beats_naive_and_search_and_folds(spark):
     from panelcast.operators.splits import walk_forward_folds
     p = FeatureParams(target="demand", keys=["series"], macro_cols=[], target_lags=[1, 12], windows=[3])
