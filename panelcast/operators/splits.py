@@ -52,17 +52,24 @@ def walk_forward_folds(df: DataFrame, n_folds: int, test_size: int, keys: list[s
 
     With n trainval rows, fold k (0-based) tests rows ``[n-(K-k)s, n-(K-k-1)s)``
     and trains on every earlier row. Output adds ``fold`` and ``role``
-    ('train'/'test'); rows after a fold's test block are not part of it."""
+    ('train'/'test'); rows after a fold's test block are not part of it. A series
+    with too few trainval rows for all folds fails the query instead of losing
+    its early folds."""
     keys = list(keys or [])
-    tv = df.filter(F.col(split) != F.lit("test")) if split else df
+    own = F.col(split) != F.lit("test") if split else F.lit(True)
     part = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    tv = tv.withColumn("_idx", F.row_number().over(part.orderBy(date)) - 1) \
-           .withColumn("_n", F.count(F.lit(1)).over(part))
+    # counted before the test rows go, so that a series of nothing else is noticed too
+    tv = df.withColumn("_n", F.count(F.when(own, F.lit(1))).over(part))
+    name = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    short = F.raise_error(F.concat(F.lit("series ["), name, F.lit("] is too short for the folds: "), F.col("_n").cast("string"),
+                                   F.lit(f" trainval rows, {n_folds} folds of {test_size} need {n_folds * test_size + 1}")))
+    tv = tv.filter(F.when(F.col("_n") > F.lit(n_folds * test_size), own).otherwise(short.cast("boolean"))) \
+           .withColumn("_idx", F.row_number().over(part.orderBy(date)) - 1)
     k = F.col("fold")
     start = F.col("_n") - (F.lit(n_folds) - k) * F.lit(test_size)
     out = tv.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1)))) \
             .withColumn("_start", start) \
-            .filter((F.col("_idx") < F.col("_start") + F.lit(test_size)) & (F.col("_start") > 0))
+            .filter(F.col("_idx") < F.col("_start") + F.lit(test_size))
     out = out.withColumn("role", F.when(F.col("_idx") < F.col("_start"), F.lit("train"))
                          .otherwise(F.lit("test")))
     return out.drop("_idx", "_n", "_start")

@@ -88,6 +88,15 @@ def test_walk_forward_folds_expand_and_are_disjoint(spark):
         assert max(tr) < min(tests[k]) and len(tr) == 24 - (3 - k) * 4
 
 
+@pytest.mark.parametrize("n, last", [(12, "train"), (3, "train"), (3, "test")])
+def test_walk_forward_folds_fail_on_a_short_series(spark, n, last):
+    rows = [("long", d, "train") for d in months(24)] + [("short", d, last) for d in months(n)]
+    s = spark.createDataFrame(rows, "series string, date date, split string")
+    with pytest.raises(Exception, match=r"series \[short\] is too short for the folds"):
+        walk_forward_folds(s, 3, 4, ["series"]).collect()
+    assert walk_forward_folds(s.filter("series = 'long'"), 3, 4, ["series"]).count() == 16 + 20 + 24
+
+
 def test_validate_output_reports_all(spark):
     df = spark.createDataFrame([(d, None) for d in months(3)], "date date, v double")
     rep = {(r["check"], r["col"]): r["passed"] for r in validation_report(
