@@ -124,7 +124,8 @@ def land_vehicle_sheet(spark: SparkSession, lineitem: DataFrame, flags: list[str
     """Shipped quantity per month: one block per return flag, one column per line status.
 
     Rows 0-2 are junk, row 3 holds block names on the first column of each
-    block only, row 4 repeats the variable names, data starts at row 5."""
+    block only, row 4 repeats the variable names, data starts at row 5. A pair of
+    flag and status that isn't listed, a null one too, fails the query."""
     li = lineitem.filter(F.col("l_shipdate").isNotNull()).select(
         to_month("l_shipdate").alias("month"), "l_returnflag", "l_linestatus", "l_quantity")
     g = li.groupBy("month", "l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("v"))
@@ -133,8 +134,11 @@ def land_vehicle_sheet(spark: SparkSession, lineitem: DataFrame, flags: list[str
     n_cols = 1 + len(pos)
     col_idx = F.create_map(*[x for (f, s), c in pos.items()
                              for x in (F.lit(f"{f}|{s}"), F.lit(c))])
-    body = g.select("month", F.element_at(col_idx, F.concat_ws("|", "l_returnflag", "l_linestatus")).alias("col_idx"),
-                    F.format_string("%.2f", "v").alias("text")).filter(F.col("col_idx").isNotNull())
+    # a total without a column fails the landing instead of vanishing from the sheet
+    pair = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("NULL")) for c in ("l_returnflag", "l_linestatus")])
+    unlisted = F.raise_error(F.concat(F.lit("vehicle sheet: block or variable not listed: "), pair)).cast("int")
+    body = g.select("month", F.coalesce(F.element_at(col_idx, pair), unlisted).alias("col_idx"),
+                    F.format_string("%.2f", "v").alias("text"))
     months = g.select("month").distinct()
     rows = months.withColumn("row_idx", F.row_number().over(Window.orderBy("month")) + F.lit(4))
     body = body.join(rows, "month").select("row_idx", "col_idx", "text")

@@ -55,3 +55,15 @@ def test_latin1_csv_roundtrip(spark):
     back = FS.scan_csv_encoded(spark, path, schema)
     got = sorted((r["Município"], r["Área total"]) for r in back.collect())
     assert got == [("Goiânia", 2.25), ("São Paulo", 1.5)] and not math.isnan(got[0][1])
+
+
+@pytest.mark.parametrize("flag, status", [("X", "F"), ("A", "P"), (None, "F"), ("A", None)])
+def test_vehicle_sheet_fails_on_an_unlisted_pair(spark, flag, status):
+    from panelcast.sources import landing
+    rows = [("A", "F", 1.0), ("N", "O", 2.0), (flag, status, 4.0)]
+    li = spark.createDataFrame(rows, "l_returnflag string, l_linestatus string, l_quantity double") \
+              .selectExpr("to_date('1998-01-05') l_shipdate", "*")
+    with pytest.raises(Exception, match="block or variable not listed"):
+        landing.land_vehicle_sheet(spark, li, ["A", "N", "R"])
+    path, n = landing.land_vehicle_sheet(spark, li.filter("l_quantity < 3"), ["A", "N", "R"])
+    assert n == 7 and any("1998-01-01" in list(r) for r in spark.read.csv(path).collect())
