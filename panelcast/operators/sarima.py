@@ -89,6 +89,8 @@ def fit(y: np.ndarray, order: dict, exog: np.ndarray | None = None, s: int = SEA
     cols = [z[start - k: n - k] for k in ar] + [e[start - k: n - k] for k in ma]
     if xz is not None:
         cols += [xz[start:, j] for j in range(xz.shape[1])]
+    if xz is not None and len(cols) >= n - start:
+        return None     # more columns than rows: any target would be met exactly
     X2 = np.column_stack(cols) if cols else np.zeros((n - start, 0))
     target = z[start:]
     beta = np.linalg.lstsq(X2, target, rcond=None)[0] if X2.shape[1] else np.zeros(0)
@@ -166,7 +168,9 @@ def arima_forecast(panel: DataFrame, orders: DataFrame, keys: list[str], target:
 
     Exogenous columns (ARIMAX) use their observed values over the forecast
     period. Output: (keys, date, split, y_real, y_pred, resid_std, reason): a series
-    too short for any order keeps its rows, with a NULL prediction and the reason."""
+    too short for any order or for its exogenous columns, or without their values,
+    keeps its rows, with a NULL prediction and the reason. History begins after the
+    last row that lacks an exogenous value (the warm-up of lags)."""
     ship_package(panel.sparkSession)
     exog = list(exog or [])
     names = list(ORDER_GRID[0])
@@ -185,7 +189,16 @@ def arima_forecast(panel: DataFrame, orders: DataFrame, keys: list[str], target:
             fut = pdf[pdf[split] == target_split]
             if fut.empty:
                 continue
-            m = fit(hist["y"].to_numpy(float), o, None if X is None else X[hist.index]) if o else None
+            reason = "series too short for the model"
+            if X is not None:
+                gaps = hist.index[np.isnan(X[hist.index]).any(axis=1)]
+                hist = hist.loc[gaps[-1] + 1:] if len(gaps) else hist
+            if X is not None and np.isnan(X[fut.index]).any():
+                m, reason = None, "exogenous values missing over the forecast period"
+            else:
+                m = fit(hist["y"].to_numpy(float), o, None if X is None else X[hist.index]) if o else None
+                if m is None and o and X is not None and fit(hist["y"].to_numpy(float), o):
+                    reason = f"series too short for {len(exog)} exogenous columns"
             pred = [None] * len(fut) if m is None else forecast(
                 hist["y"].to_numpy(float), m, len(fut),
                 None if X is None else X[hist.index], None if X is None else X[fut.index])
@@ -194,7 +207,7 @@ def arima_forecast(panel: DataFrame, orders: DataFrame, keys: list[str], target:
                 row.update({date: r[date], split: target_split, "y_real": float(r["y"]),
                             "y_pred": None if p is None else float(p),
                             "resid_std": None if m is None else float(np.sqrt(m["sigma2"])),
-                            "reason": "series too short for the model" if m is None else None})
+                            "reason": reason if m is None else None})
                 out.append(row)
         cols = keys + [date, split, "y_real", "y_pred", "resid_std", "reason"]
         return pd.DataFrame(out, columns=cols)

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import model as MD
 from panelcast.operators import sarima as SA
+from panelcast.operators.features import feature_table
 from panelcast.operators.forecast_table import error_band
+from panelcast.operators.recursive import classify_features
 from panelcast.plans import panels as P
 from panelcast.plans import training as T
 from panelcast.plans.registry import register
@@ -108,9 +110,12 @@ def seasonal_arima_forecast_q(spark, sf_dir):
 
 @register("seasonal_arimax_forecast")
 def seasonal_arimax_forecast_q(spark, sf_dir):
+    """ARIMAX on every external column (neither target nor calendar) that selection keeps."""
+    _, cols = T.prepared_frame(spark, sf_dir, RP)
+    exog = classify_features(cols, P.TARGET)[2]
     df = _arima_panel(spark, sf_dir)
     best = SA.best_orders(SA.arima_grid(df.filter(F.col("split") == "train"), P.KEYS, P.TARGET), P.KEYS)
-    return SA.arima_forecast(df, best, P.KEYS, P.TARGET, exog=["qty_a", "price_mean"])
+    return SA.arima_forecast(feature_table(df, T.FP, drop_null=False), best, P.KEYS, P.TARGET, exog=exog)
 
 
 def _session_base(spark):

@@ -117,6 +117,34 @@ def test_order_choice_is_free_of_units_and_short_series_stay(spark):
     assert len(out) == 3 and all(r["y_pred"] is None and r["reason"] for r in out)
 
 
+def test_arimax_takes_every_selected_external_column(spark, sf_small, monkeypatch):
+    from panelcast.plans import panels, q_model
+    seen = {}
+    monkeypatch.setattr(q_model.T, "prepared_frame", lambda *a: (None, ["demand_lag_1", "rev_p2", "qty_a", "trend", "qty_a_lag_2", "demand_ma3"]))
+    monkeypatch.setattr(q_model.SA, "arima_grid", lambda *a: None)
+    monkeypatch.setattr(q_model.SA, "best_orders", lambda *a: None)
+    monkeypatch.setattr(q_model.SA, "arima_forecast", lambda df, *a, exog: seen.update(exog=exog, cols=df.columns))
+    q_model.seasonal_arimax_forecast_q(spark, sf_small)
+    assert seen["exog"] == ["rev_p2", "qty_a", "qty_a_lag_2"] and set(seen["exog"]) <= set(seen["cols"])
+
+
+def test_arimax_reports_series_too_short_for_its_columns(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    ext = [f"x{j}" for j in range(6)]
+    rows = [(s, f"{1990 + i // 12}-{i % 12 + 1:02d}-01", "train" if i < n else "val", float(rng.normal()),
+             *(None if (i == 0 and j == 0) or (s == "gap" and i == n) else float(rng.normal()) for j in range(6)))
+            for s, n in (("long", 90), ("short", 26), ("gap", 90)) for i in range(n + 3)]
+    df = spark.createDataFrame(rows, "series string, d string, split string, demand double, " + ", ".join(f"{x} double" for x in ext)) \
+              .withColumn("date", F.to_date("d"))
+    orders = spark.createDataFrame([(s, 1, 1, 0, 0, 1, 0) for s in ("long", "short", "gap")], "series string, p int, d int, q int, sp int, sd int, sq int")
+    out = SA.arima_forecast(df, orders, ["series"], "demand", exog=ext).collect()
+    got = {s: {(r["y_pred"] is None, r["reason"]) for r in out if r["series"] == s} for s in ("long", "short", "gap")}
+    assert len(out) == 9 and got["long"] == {(False, None)}
+    assert got["short"] == {(True, "series too short for 6 exogenous columns")}
+    assert got["gap"] == {(True, "exogenous values missing over the forecast period")}
+
+
 def test_step_features_of_a_short_series(spark):
     from panelcast.operators.recursive import step_features
     state = spark.createDataFrame([("a", [5.0, 7.0], "2000-02-01"), ("b", [float(i) for i in range(40)], "2000-02-01")],
