@@ -5,7 +5,9 @@ ignored. The hashes of all seeds of the test items are joined with those of the
 training texts, and around each hit the two texts are laid side by side: a leak is
 a stretch of at least ``STRETCH`` aligned words of which ``MATCHES`` or more agree.
 The two masks were chosen so that any stretch of 13 words with two substitutions
-has a seed free of them. Items shorter than a stretch must occur word for word.
+has a seed free of them. Items shorter than a stretch must occur as a whole, with the
+same share of equal words: one substitution in 7 to 12 words, none in fewer. Items
+under ``DROP_WORDS`` words are reported, but drop no document.
 
 The test items are taken in blocks of bounded size, each broadcast and held
 against all documents; nothing of the documents is shuffled, so a passage that a
@@ -27,6 +29,8 @@ from panelcast.session import ship_package
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 STRETCH, MATCHES = 13, 11
+#: Items with fewer words are found in too many clean texts.
+DROP_WORDS = 3
 #: Words of one broadcast block of test items, at most about twice this many.
 BLOCK_WORDS = 1_000_000
 #: Longer items are cut in pieces that overlap by a stretch.
@@ -34,6 +38,16 @@ PIECE_WORDS = 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)       # odd multiplier of the seed hash (2^64 / golden ratio)
 
 
+def _needed(size: int) -> int:
+    """Equal words that a short item needs: the share of a stretch, rounded up."""
+    return -(-size * MATCHES // STRETCH)
+
+
+def _short_masks(size: int) -> list[tuple[int, ...]]:
+    """Masks of an item shorter than a stretch: a substitution is in one of two at most."""
+    return [tuple(range(size))] if _needed(size) == size else [tuple(range(0, size, 2)), tuple(range(1, size, 2))]
+
+
 def _seed_hashes(ids: np.ndarray, mask) -> np.ndarray:
     """Hash of the mask's words at every position; ``ids`` are word numbers, 0: no test word.
     Positions where a needed word is 0 get hash 0."""
@@ -61,16 +75,17 @@ class Block:
             words = line.encode().split()
             self.items.append(np.array([self.number.setdefault(w, len(self.number) + 1) for w in words], np.int32))
         short = sorted({len(x) for x in self.items if 0 < len(x) < STRETCH})
-        self.masks = [*MASKS, *(tuple(range(n)) for n in short)]
-        self.seeds = [self._seeds(m, i >= len(MASKS)) for i, m in enumerate(self.masks)]
+        sized = [(m, None) for m in MASKS] + [(m, n) for n in short for m in _short_masks(n)]
+        self.masks = [m for m, _ in sized]
+        self.seeds = [self._seeds(m, n) for m, n in sized]
 
-    def _seeds(self, mask, exact: bool):
+    def _seeds(self, mask, size: int | None):
         """Sorted hashes, item and position of each seed, and a bit table that most
         positions of other texts fail at."""
         h, item, pos = [], [], []
         for i, ids in enumerate(self.items):
-            if (len(ids) == len(mask)) if exact else (len(ids) >= STRETCH):
-                x = _seed_hashes(ids, mask)
+            if len(ids) >= STRETCH if size is None else len(ids) == size:
+                x = _seed_hashes(ids, mask)[:None if size is None else 1]
                 h.append(x)
                 item.append(np.full(len(x), i))
                 pos.append(np.arange(len(x)))
@@ -120,7 +135,7 @@ class Block:
     def _stretch(same: np.ndarray, size: int) -> tuple[int, int] | None:
         """Longest run of windows that are close enough, or None."""
         if size < STRETCH:
-            return (0, size) if len(same) == size and same.all() else None
+            return (0, size) if len(same) == size and same.sum() >= _needed(size) else None
         if len(same) < STRETCH:
             return None
         total = np.concatenate([[0], np.cumsum(same)])
@@ -132,6 +147,10 @@ class Block:
         longest = int(np.argmax(ends - starts))
         return int(starts[longest]), int(ends[longest]) + STRETCH - 1
 
+    def drops(self, text: str) -> bool:
+        """Whether the text has a leak of an item that isn't too short to say so."""
+        return any(len(self.items[i]) >= DROP_WORDS for i in self.leaks(self.read(text)))
+
     def read(self, text: str) -> np.ndarray:
         words = text.encode().translate(FOLD).split()
         get = self.number.get
@@ -220,7 +239,8 @@ def find_leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that share no leak with any test item, all columns as they are."""
+    """The rows of ``docs`` that share no leak with any test item of ``DROP_WORDS`` words or
+    more, all columns as they are."""
     ship_package(docs.sparkSession)
     for shared in _shared_blocks(docs, bench):
         def run(batches, shared=shared):
@@ -228,7 +248,7 @@ def keep_clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
             for batch in batches:
                 for piece in slices(batch):
                     texts = piece.column(piece.schema.get_field_index("text"))
-                    yield piece.filter(pa.array([not block.leaks(block.read(t.as_py() or "")) for t in texts], pa.bool_()))
+                    yield piece.filter(pa.array([not block.drops(t.as_py() or "") for t in texts], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

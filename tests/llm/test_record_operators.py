@@ -143,3 +143,23 @@ def test_pipeline_keeps_clean_documents(spark, sf_small):
     ids = [r["doc_id"] for r in rows]
     assert len(set(ids)) == len(ids) and set(ids) <= {r["doc_id"] for r in docs.select("doc_id").collect()}
     assert len(ids) > 0.6 * docs.count()
+
+
+def test_short_benchmark_items(spark):
+    words = [f"w{i}" for i in range(12)]
+    sizes = range(7, 13)
+    bench = spark.createDataFrame([(n, " ".join(f"i{n}{w}" for w in words[:n])) for n in sizes] + [(1, "yes"), (2, "of it"), (5, "a b c d e")],
+                                  "item_id long, text string")
+    rows, want = [], set()
+    for n in sizes:
+        item = [f"i{n}{w}" for w in words[:n]]
+        for k in range(n):
+            rows.append((100 * n + k, " ".join(["x", *item[:k], "other", *item[k + 1:], "y"])))
+            want.add((100 * n + k, n))
+        rows.append((100 * n + 50, " ".join(["other", *item[1:-1], "other"])))
+    rows += [(1, "say yes to this"), (2, "yes the end of it"), (3, "x a b c d e y"), (4, "x a b z d e y"), (5, "nothing here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contamination.find_leaks(docs, bench).collect()}
+    assert got == want | {(1, 1), (2, 1), (2, 2), (3, 5)}
+    left = {r["doc_id"] for r in contamination.keep_clean(docs, bench).collect()}
+    assert left == {1, 2, 4, 5} | {100 * n + 50 for n in sizes}
