@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelcast.llm import bpe, chat, contamination, language, licenses, quality, simhash, tokenfile, urls, warc
+from panelcast.llm import (bpe, chat, contamination, language, licenses, merkle, quality, repeats, simhash, tokenfile,
+                           urls, warc, whitening)
 from panelcast.llm.common import read
 
 #: A conversation whose texts are made of marks, added to the table's own.
@@ -68,13 +69,29 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_grammar, op2_warc_seekable, op3_token_mph, op4_bpe_fst, op5_license_templates, op6_quality_rules,
-    op7_spaced_seeds, op8_url_logistic, op9_simhash_pigeonring, op10_cross_parsing, pipeline)}
+    op7_spaced_seeds, op8_url_logistic, op9_simhash_pigeonring, op10_cross_parsing, op11_embedding_whitening,
+    op12_suffix_dedup, op13_merkle_manifest, pipeline)}
 ORACLE_SQL: dict[str, str] = {"op6_quality_rules": quality.oracle_sql()}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
