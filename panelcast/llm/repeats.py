@@ -347,8 +347,12 @@ def _segments(corpus: DataFrame, keys: str, strings: str | None, length: int) ->
         def batch_of(found):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), SEGMENT.types)], schema=SEGMENT)
 
-        def later(r):
-            return (r[1], r[1], r[2], r[3], r[4], r[4] + 1, None)
+        told: list[tuple[int, int]] = []      # (at, start) that repeat, known without a sort
+
+        def flush():
+            doc, start, stop = joined(*(np.array(c, np.int64) for c in zip(*told))) if told else ([], [], [])
+            rows.extend((int(d), int(d), None, 0, int(a), int(b), None) for d, a, b in zip(doc, start, stop))
+            told.clear()
 
         for batch in batches:
             for piece in slices(batch):
@@ -373,16 +377,19 @@ def _segments(corpus: DataFrame, keys: str, strings: str | None, length: int) ->
                                     alone[string] = row
                                 elif _when(row) < _when(old):
                                     alone[string] = row
-                                    rows.append(later(old))
+                                    told.append((old[1], old[4]))
                                 else:
-                                    rows.append(later(row))
+                                    told.append((row[1], row[4]))
                         if len(alone) * (length + 200) > 32 << 20:
                             rows.extend(alone.values())
                             alone.clear()
+                        if len(told) > 100_000:
+                            flush()
                         if size > 2 << 20 or len(rows) > 20000:
                             yield batch_of(rows)
                             rows, size = [], 0
         rows.extend(alone.values())
+        flush()
         for a in range(0, len(rows), 20000):
             yield batch_of(rows[a:a + 20000])
 

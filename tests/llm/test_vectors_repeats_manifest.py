@@ -169,7 +169,8 @@ def test_removal_equals_a_plain_version(spark):
 
 
 def test_very_long_text_is_taken_whole(spark):
-    tail = "".join(random.Random(1).choice("xyz ") for _ in range(150))
+    rng = random.Random(1)
+    tail = "".join(rng.choice("xyz ") for _ in range(150))
     long = "q" * (repeats.CHUNK + 500) + tail
     got = removal(spark.createDataFrame([(1, long), (2, tail), (3, "short")], "doc_id long, text string"))
     assert [(r[0], r[1], r[2], r[3]) for r in got] == [(1, len(long), repeats.CHUNK + 499, 1), (2, 150, 150, 1), (3, 5, 0, 0)]
