@@ -29,7 +29,7 @@ LENGTH = 100
 #: A hash with more starts than this is dealt by the strings themselves instead.
 HOT = 4096
 #: Starts of one text looked at together; bytes of segments sorted together; keys held by a task.
-CHUNK, SORT_BYTES, HELD = 1 << 20, 4 << 20, 1 << 20
+CHUNK, SORT_BYTES, HELD = 1 << 20, 1 << 20, 1 << 20
 BLOCK_BITS = 33      # monotonically_increasing_id: partition above, row below
 
 _ODD, _MIX = 0xD6E8FEB86659FD93, np.uint64(0x7FB5D329728EA185)
@@ -121,7 +121,7 @@ def suffix_order(t: np.ndarray, ends: np.ndarray, starts: np.ndarray, depth: int
     padded[:n] = t
     direct = np.flatnonzero(needed & smaller)
     keys = np.lib.stride_tricks.as_strided(padded, (n, depth), (1, 1))[direct]
-    left = ends[np.searchsorted(ends, direct, "right")] - direct
+    left = np.repeat(ends, ends - begins)[direct] - direct
     short = np.flatnonzero(left < depth)
     if len(short):
         part = keys[short]
@@ -170,14 +170,18 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     words = -(-most // 8)
     padded = np.zeros(len(t) + 8 * words + 8, np.uint8)
     padded[:len(t)] = t
-    word = np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,))
+    # the eight bytes from each place on, aligned
+    word = np.ascontiguousarray(np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,)))
     out = np.zeros(len(order), np.int64)
-    open_ = np.arange(1, len(order))
+    row, a, b = np.arange(1, len(order)), order[1:], order[:-1]
     for j in range(words):
-        x = word[order[open_] + 8 * j] ^ word[order[open_ - 1] + 8 * j]
-        low = x & (~x + np.uint64(1))
-        out[open_] += np.where(x == 0, 8, np.bitwise_count(low - np.uint64(1)).astype(np.int64) // 8)
-        open_ = open_[x == 0]
+        x = word[a] ^ word[b]
+        differ = x != 0
+        here = x[differ]
+        out[row[differ]] = 8 * j + np.bitwise_count((here & (~here + np.uint64(1))) - np.uint64(1)).astype(np.int64) // 8
+        row, a, b = (v[~differ] for v in (row, a, b))
+        a, b = a + 8, b + 8
+    out[row] = 8 * words
     return np.minimum(out, most)
 
 
@@ -197,7 +201,7 @@ def repeated_starts(t: np.ndarray, ends: np.ndarray, owner: np.ndarray, first: n
     order = suffix_order(t, ends, starts, length)
     same = common_prefixes(t, order, length) >= length
     group = np.flatnonzero(~same)
-    s = np.searchsorted(ends, order, "right")
+    s = np.repeat(np.arange(len(ends)), ends - begins)[order]
     place = first[s] + order - begins[s]
     when = (owner[s].astype(np.int64) << 32) | place
     least = np.minimum.reduceat(when, group) if len(group) else when
