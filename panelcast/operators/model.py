@@ -1,10 +1,12 @@
-"""Boosted-tree training on a panel: weights, fits, search, folds, importances.
+"""Boosted-tree training on a panel: fits, staged errors, search, folds, importances.
 
 One MLlib ``GBTRegressor`` is fitted on the whole panel (all series at once), so
-the work grows with the data instead of with a loop over series. Fits that are
-independent of each other (search trials, walk-forward folds) are submitted as
-concurrent Spark jobs from a small driver thread pool; only model parameters,
-scores and column names come back to the driver.
+the work grows with the data instead of with a loop over series. The rows of a fit
+are turned into vectors once, dealt over as many partitions as their measured
+bytes need and stored, in a fixed order, so that a fit does not depend on how its
+input was dealt. Fits that are independent of each other (search trials,
+walk-forward folds) are submitted as concurrent Spark jobs from a small driver
+thread pool; only model parameters, scores and column names come back to the driver.
 """
 
 from __future__ import annotations
@@ -13,15 +15,16 @@ import json
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.operators.stats import MAPE_EPS
+from panelcast.session import cut_lineage, scratch_path
 
 FEATURES_VEC = "features_vec"
 
@@ -36,13 +39,21 @@ class TreeParams:
     min_instances: int = 3
     min_info_gain: float = 0.0
 
-    def estimator(self, label: str, weight: str | None, seed: int = 0,
-                  validation_col: str | None = None) -> GBTRegressor:
-        extra = {}
-        if weight:
-            extra["weightCol"] = weight
-        if validation_col:
-            extra.update(validationIndicatorCol=validation_col, validationTol=1e-4)
+    @classmethod
+    def from_search_names(cls, params: dict) -> TreeParams:
+        """Parameters under the names of the reference's search space. Names without an
+        exact counterpart in MLlib's trees are refused, not dropped."""
+        refused = sorted(set(params) & set(NO_COUNTERPART))
+        unknown = sorted(set(params) - set(COUNTERPART) - set(NO_COUNTERPART))
+        if refused or unknown:
+            raise ValueError("; ".join([f"{n}: {NO_COUNTERPART[n]}" for n in refused] + [f"{n}: unknown parameter" for n in unknown]))
+        own = {COUNTERPART[n]: v for n, v in params.items()}
+        if "feature_subset" in own:
+            own["feature_subset"] = str(own["feature_subset"])
+        return cls(**own)
+
+    def estimator(self, label: str, weight: str | None, seed: int = 0) -> GBTRegressor:
+        extra = {"weightCol": weight} if weight else {}
         return GBTRegressor(featuresCol=FEATURES_VEC, labelCol=label, predictionCol="y_pred",
                             maxIter=self.max_iter, maxDepth=self.max_depth, stepSize=self.step_size,
                             subsamplingRate=self.subsampling_rate,
@@ -51,6 +62,18 @@ class TreeParams:
                             seed=seed, **extra)
 
 
+#: Names of the reference's search space and the fields that stand for them.
+COUNTERPART = {"n_estimators": "max_iter", "max_depth": "max_depth", "learning_rate": "step_size",
+               "subsample": "subsampling_rate", "colsample_bytree": "feature_subset",
+               "min_child_weight": "min_instances", "gamma": "min_info_gain"}
+NO_COUNTERPART = {"reg_alpha": "leaf values of MLlib trees are plain means, an L1 penalty has no counterpart",
+                  "reg_lambda": "leaf values of MLlib trees are plain means, an L2 penalty has no counterpart"}
+#: Rounds without a better validation error after which boosting counts as stopped.
+PATIENCE = 20
+#: A fit's rows are dealt in partitions of about this many bytes of vectors.
+FIT_BYTES = 64 << 20
+
+
 @dataclass
 class SearchSpace:
     """Ranges of the random search (the reference's boosted-tree space on MLlib knobs)."""
@@ -82,81 +105,104 @@ class TrainSpec:
     lam: float = 0.95
 
 
-def recency_weights(df: DataFrame, spec: TrainSpec, rows_filter=None) -> DataFrame:
-    """λ^age per series over the rows in ``rows_filter`` (newest = 1); others get NULL."""
-    w = Window.partitionBy(*spec.keys).orderBy(F.col(spec.date).desc())
-    if rows_filter is None:
-        age = F.row_number().over(w) - 1
-        return df.withColumn(spec.weight, F.pow(F.lit(spec.lam), age.cast("double")))
-    inside = df.filter(rows_filter)
-    outside = df.filter(~rows_filter).withColumn(spec.weight, F.lit(None).cast("double"))
-    age = F.row_number().over(w) - 1
-    return inside.withColumn(spec.weight, F.pow(F.lit(spec.lam), age.cast("double"))).unionByName(outside)
+def fit_rows(df: DataFrame, spec: TrainSpec, *more: str) -> DataFrame:
+    """Vectors, label and weights for fits, stored: (keys, date, label, vector, ``more``).
+
+    Partitions follow from the measured number of rows, and rows are in key and date
+    order, so that the same rows give the same fit however they came."""
+    order = [*spec.keys, spec.date, *[c for c in more if c == "fold"]]
+    rows = _assembler(spec).transform(df).select(*spec.keys, spec.date, spec.label, FEATURES_VEC, *more)
+    parts = max(1, math.ceil(df.count() * 8 * (len(spec.feature_cols) + len(more) + 2) / FIT_BYTES))
+    return cut_lineage(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order))
 
 
-def pipeline(spec: TrainSpec, params: TreeParams, seed: int = 0, validation_col: str | None = None,
-             weighted: bool = True) -> Pipeline:
-    asm = VectorAssembler(inputCols=spec.feature_cols, outputCol=FEATURES_VEC, handleInvalid="keep")
-    est = params.estimator(spec.label, spec.weight if weighted else None, seed, validation_col)
-    return Pipeline(stages=[asm, est])
+def _assembler(spec: TrainSpec) -> VectorAssembler:
+    return VectorAssembler(inputCols=spec.feature_cols, outputCol=FEATURES_VEC, handleInvalid="keep")
 
 
 def fit_boosted_trees(train: DataFrame, spec: TrainSpec, params: TreeParams, seed: int = 0) -> PipelineModel:
-    return pipeline(spec, params, seed).fit(train)
+    """The fitted trees behind an assembler of the feature columns. ``train`` holds feature
+    columns, or is what ``fit_rows`` gives."""
+    rows = train if FEATURES_VEC in train.columns else fit_rows(train, spec, *([spec.weight] if spec.weight else []))
+    return PipelineModel([_assembler(spec), params.estimator(spec.label, spec.weight, seed).fit(rows)])
 
 
 def trees_used(model: PipelineModel) -> int:
     return len(model.stages[-1].trees)
 
 
-def _mse(pred: DataFrame, label: str) -> float:
-    r = pred.agg(F.avg((F.col(label) - F.col("y_pred")) ** 2).alias("m")).collect()[0]["m"]
-    return float(r) if r is not None else float("nan")
+def staged_errors(model: PipelineModel, rows: DataFrame) -> list[float]:
+    """Mean squared error of every prefix of the trees, in one pass over ``rows`` (of ``fit_rows``).
+
+    With a weight column in the model's settings the mean is weighted by it."""
+    return [float(e) for e in model.stages[-1].evaluateEachIteration(rows, "squared")]
+
+
+def stopping_round(errors: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(trees to use, has it stopped): boosting stops ``patience`` rounds after its best
+    error so far, and the trees up to that best one count."""
+    best, at = math.inf, 0
+    for i, e in enumerate(errors, 1):
+        if e < best:
+            best, at = e, i
+        elif i - at >= patience:
+            return max(at, 1), True
+    return max(at, 1), False
 
 
 def hyperparameter_search(df: DataFrame, spec: TrainSpec, space: SearchSpace, n_trials: int,
                           split: str = "split", seed: int = 0, parallel: int = 4,
-                          callback=None) -> tuple[DataFrame, TreeParams]:
-    """Seeded random search; each trial fits on train with early stopping on val
-    and is scored by val MSE. Returns the trial table (with the running best)
-    and the best parameters, with ``max_iter`` set to the stopped tree count."""
+                          callback=None, patience: int = PATIENCE) -> tuple[DataFrame, TreeParams]:
+    """Seeded random search; each trial fits on train, and the staged error on val says
+    where ``patience`` rounds bring no gain: ``trees_used`` trees count, with their error.
+
+    A trial is fitted with a quarter of its rounds first, and with all only if it hasn't
+    stopped by then; the first rounds of a longer fit are the same. Returns the trial
+    table (with the running best) and the best parameters, with ``max_iter`` set to the
+    trees used."""
     spark = df.sparkSession
     rng = random.Random(seed)
     trials = [space.sample(rng) for _ in range(n_trials)]
-    tv = df.filter(F.col(split).isin("train", "val")).withColumn("_is_val", F.col(split) == "val")
-    tv = tv.withColumn(spec.weight, F.when(F.col("_is_val"), F.lit(1.0)).otherwise(F.col(spec.weight)))
-    val = df.filter(F.col(split) == "val")
+    tv = df.filter(F.col(split).isin("train", "val"))
+    tv = tv.withColumn(spec.weight, F.when(F.col(split) == "val", F.lit(1.0)).otherwise(F.col(spec.weight)))
+    rows = fit_rows(tv, spec, spec.weight, split)
+    train, val = (rows.filter(F.col(split) == s) for s in ("train", "val"))
 
     def run(i_p):
         i, p = i_p
-        m = pipeline(spec, p, seed, validation_col="_is_val").fit(tv)
-        score = _mse(m.transform(val), spec.label)
-        used = trees_used(m)
+        for rounds in sorted({max(1, p.max_iter // 4), p.max_iter}):
+            m = fit_boosted_trees(train, spec, replace(p, max_iter=rounds), seed)
+            errors = staged_errors(m, val)
+            used, stopped = stopping_round(errors, patience)
+            if stopped:
+                break
         if callback:
-            callback(i, p, score)
-        return i, p, score, used
+            callback(i, p, errors[used - 1])
+        return i, p, errors[used - 1], used
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
         results = list(ex.map(run, enumerate(trials)))
-    rows = [(i, json.dumps(asdict(p)), s, u) for i, p, s, u in results]
-    table = spark.createDataFrame(rows, "trial int, params string, val_mse double, trees_used int")
+    table = spark.createDataFrame([(i, json.dumps(asdict(p)), s, u) for i, p, s, u in results],
+                                  "trial int, params string, val_mse double, trees_used int")
     w = Window.orderBy("trial").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     table = table.withColumn("best_so_far", F.min("val_mse").over(w))
-    best_i, best_p, _, best_used = min(results, key=lambda r: (r[2], r[0]))
-    best = TreeParams(**{**asdict(best_p), "max_iter": max(1, best_used)})
-    return table, best
+    _, best, _, used = min(results, key=lambda r: (r[2], r[0]))
+    return table, replace(best, max_iter=used)
 
 
 def walk_forward_cv(folds: DataFrame, spec: TrainSpec, params: TreeParams, seed: int = 0,
                     parallel: int = 4) -> DataFrame:
     """One fit per fold on its 'train' rows (weights on the full trainval scale),
-    MAPE on its 'test' rows; fits run as concurrent jobs. Output (fold, mape)."""
+    MAPE on its 'test' rows; fits run as concurrent jobs. Output (fold, mape).
+
+    Series that were rejected for the folds (NULL fold) take no part."""
     spark = folds.sparkSession
-    ids = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
+    rows = fit_rows(folds.filter(F.col("fold").isNotNull()), spec, spec.weight, "fold", "role")
+    ids = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
 
     def run(k):
-        f = folds.filter(F.col("fold") == k)
-        m = fit_boosted_trees(f.filter(F.col("role") == "train"), spec, params, seed)
+        f = rows.filter(F.col("fold") == k)
+        m = fit_boosted_trees(f.filter(F.col("role") == "train"), spec, params, seed).stages[-1]
         pred = m.transform(f.filter(F.col("role") == "test"))
         y = F.col(spec.label)
         mape = pred.agg(F.avg(F.abs(y - F.col("y_pred")) / F.greatest(F.abs(y), F.lit(MAPE_EPS)))).collect()[0][0]
@@ -167,6 +213,71 @@ def walk_forward_cv(folds: DataFrame, spec: TrainSpec, params: TreeParams, seed:
     return spark.createDataFrame(res, "fold int, mape double")
 
 
+# ------------------------------------------------------------------ trees as a table
+
+def tree_nodes(model: PipelineModel) -> DataFrame:
+    """Node table of the fitted trees: (tree, node, feature, threshold, left, right, value,
+    weight). A leaf has a NULL feature; a split sends values up to its threshold left.
+
+    Read from the model as MLlib stores it, in the shared folder."""
+    spark, gbt = SparkSession.active(), model.stages[-1]
+    path = scratch_path(spark, "trees")
+    gbt.save(path)
+    weights = spark.createDataFrame([(t, float(w)) for t, w in enumerate(gbt.treeWeights)], "tree int, weight double")
+    n = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    numeric = F.when(F.col("split.numCategories") == -1, F.get("split.leftCategoriesOrThreshold", F.lit(0))).otherwise(
+        F.raise_error(F.lit("a split by category has no threshold")).cast("double"))
+    return n.select("tree", F.col("id").alias("node"), F.when(inner, F.col("split.featureIndex")).alias("feature"),
+                    F.when(inner, numeric).alias("threshold"), F.when(inner, F.col("leftChild")).alias("left"),
+                    F.when(inner, F.col("rightChild")).alias("right"), F.col("prediction").alias("value")).join(F.broadcast(weights), "tree")
+
+
+def score_by_expression(df: DataFrame, nodes: DataFrame, feature_cols: list[str], out: str = "y_pred") -> DataFrame:
+    """Predictions of the node table as one compiled column expression: nested conditions
+    over the feature columns, one term for each tree."""
+    by_tree: dict[int, dict[int, tuple]] = {}
+    for r in nodes.collect():
+        by_tree.setdefault(r["tree"], {})[r["node"]] = r
+
+    def term(tree: dict, at: int) -> str:
+        n = tree[at]
+        if n["feature"] is None:
+            return repr(n["value"] * n["weight"]) + "D"
+        return (f"if(`{feature_cols[n['feature']]}` <= {n['threshold']!r}D, "
+                f"{term(tree, n['left'])}, {term(tree, n['right'])})")
+
+    terms = [term(by_tree[t], 0) for t in sorted(by_tree)]
+    return df.withColumn(out, F.aggregate(F.array(*[F.expr(t) for t in terms]), F.lit(0.0), lambda a, v: a + v))
+
+
+def score_by_join(df: DataFrame, nodes: DataFrame, feature_cols: list[str], row_keys: list[str], out: str = "y_pred") -> DataFrame:
+    """The same predictions relationally: each row stands at the root of every tree and is
+    joined with its node once for each level; (row_keys, out)."""
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in feature_cols])
+    n_trees = nodes.agg(F.max("tree")).first()[0] + 1
+    at = df.select(*row_keys, values.alias("_x"), F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    small = F.broadcast(nodes)                   # bounded by the trees and their depth
+    for _ in range(_depth(nodes)):
+        here = at.join(small, ["tree", "node"])
+        go = F.when(F.element_at("_x", F.col("feature") + 1) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        at = here.select(*row_keys, "_x", "tree", F.when(F.col("feature").isNull(), F.col("node")).otherwise(go).alias("node"))
+    leaves = at.join(small, ["tree", "node"])
+    return leaves.groupBy(*row_keys).agg(F.sum(F.col("value") * F.col("weight")).alias(out))
+
+
+def _depth(nodes: DataFrame) -> int:
+    """Levels of splits of the deepest tree."""
+    child = {}
+    for r in nodes.filter("feature is not null").select("tree", "node", "left", "right").collect():
+        child[r["tree"], r["node"]] = (r["left"], r["right"])
+    level, depth = [(t, n) for t, n in child if n == 0], 0
+    while level:
+        depth += 1
+        level = [(t, c) for t, n in level for c in child[t, n] if (t, c) in child]
+    return depth
+
+
 def feature_importance(model: PipelineModel, feature_cols: list[str], spark: SparkSession) -> DataFrame:
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(feature_cols, [float(v) for v in imp])),

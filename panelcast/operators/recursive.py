@@ -81,6 +81,12 @@ def step_features(state: DataFrame, h: int, feature_cols: list[str], target: str
     return state.withColumns(exprs).withColumn("date", nxt)
 
 
+def first_step(history: DataFrame, feature_cols: list[str], target: str, keys: list[str], date: str = "date") -> DataFrame:
+    """(keys, date, features) of the first forecast month of each series."""
+    step = step_features(initial_state(history, feature_cols, target, keys, date), 1, feature_cols, target)
+    return step.select(*keys, "date", *feature_cols)
+
+
 def recursive_forecast(model: PipelineModel, history: DataFrame, feature_cols: list[str], target: str,
                        keys: list[str], horizon: int, date: str = "date",
                        checkpoint_every: int = 6) -> DataFrame:

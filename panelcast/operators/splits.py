@@ -28,11 +28,6 @@ def temporal_split(df: DataFrame, val_start, test_start, date: str = "date",
     return df.withColumn(out, split_label(date, val_start, test_start))
 
 
-def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
-    """One row per split label present, with its row count."""
-    return df.groupBy(split).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def split_checks(df: DataFrame, split: str = "split", date: str = "date") -> DataFrame:
     """Raise when a split is empty; return (split, n_rows, date_min, date_max).
 
@@ -51,25 +46,33 @@ def walk_forward_folds(df: DataFrame, n_folds: int, test_size: int, keys: list[s
     """Expanding-window folds over trainval rows of each series.
 
     With n trainval rows, fold k (0-based) tests rows ``[n-(K-k)s, n-(K-k-1)s)``
-    and trains on every earlier row. Output adds ``fold`` and ``role``
-    ('train'/'test'); rows after a fold's test block are not part of it. A series
-    with too few trainval rows for all folds fails the query instead of losing
-    its early folds."""
+    and trains on every earlier row. Output adds ``fold``, ``role`` ('train'/'test') and
+    ``reason``; rows after a fold's test block are not part of it. A series with too few
+    trainval rows for all folds takes part in none: it comes out as one row, its last
+    one, with NULL fold and role and the reason, and the other series go on."""
     keys = list(keys or [])
     own = F.col(split) != F.lit("test") if split else F.lit(True)
     part = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    need = n_folds * test_size + 1
     # counted before the test rows go, so that a series of nothing else is noticed too
-    tv = df.withColumn("_n", F.count(F.when(own, F.lit(1))).over(part))
-    name = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-    short = F.raise_error(F.concat(F.lit("series ["), name, F.lit("] is too short for the folds: "), F.col("_n").cast("string"),
-                                   F.lit(f" trainval rows, {n_folds} folds of {test_size} need {n_folds * test_size + 1}")))
-    tv = tv.filter(F.when(F.col("_n") > F.lit(n_folds * test_size), own).otherwise(short.cast("boolean"))) \
+    tv = df.withColumns({"_n": F.count(F.when(own, F.lit(1))).over(part),
+                         "_from_end": F.row_number().over(part.orderBy(F.col(date).desc()))})
+    tv = tv.withColumn("reason", F.when(F.col("_n") < need, F.concat(
+        F.lit("too short for the folds: "), F.col("_n").cast("string"),
+        F.lit(f" trainval rows, {n_folds} folds of {test_size} need {need}"))))
+    tv = tv.filter(F.when(F.col("reason").isNull(), own).otherwise(F.col("_from_end") == 1)) \
            .withColumn("_idx", F.row_number().over(part.orderBy(date)) - 1)
     k = F.col("fold")
     start = F.col("_n") - (F.lit(n_folds) - k) * F.lit(test_size)
-    out = tv.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1)))) \
-            .withColumn("_start", start) \
-            .filter(F.col("_idx") < F.col("_start") + F.lit(test_size))
-    out = out.withColumn("role", F.when(F.col("_idx") < F.col("_start"), F.lit("train"))
-                         .otherwise(F.lit("test")))
-    return out.drop("_idx", "_n", "_start")
+    folds = F.when(F.col("reason").isNull(), F.sequence(F.lit(0), F.lit(n_folds - 1)))
+    out = tv.withColumn("fold", F.explode_outer(folds)).withColumn("_start", start) \
+            .filter(k.isNull() | (F.col("_idx") < F.col("_start") + F.lit(test_size)))
+    role = F.when(k.isNotNull(), F.when(F.col("_idx") < F.col("_start"), F.lit("train")).otherwise(F.lit("test")))
+    return out.withColumn("role", role).select(*df.columns, "fold", "role", "reason")
+
+
+def fold_table(df: DataFrame, n_folds: int, test_size: int, keys: list[str], date: str = "date",
+               split: str | None = "split") -> tuple[DataFrame, DataFrame]:
+    """(rows of the folds, rejected series with their reason)."""
+    out = walk_forward_folds(df, n_folds, test_size, keys, date, split)
+    return out.filter(F.col("fold").isNotNull()).drop("reason"), out.filter(F.col("fold").isNull()).select(*keys, "reason")

@@ -98,17 +98,21 @@ tv AS (SELECT series, date, demand, demand_lag_1,
 fx AS (SELECT tv.*, CAST(fi.fold AS INTEGER) AS fold, n - ({N_FOLDS} - fi.fold) * {FOLD_SIZE} AS start
        FROM tv JOIN (SELECT unnest(range(0, {N_FOLDS})) AS fold) fi ON TRUE),
 folds AS (SELECT series, date, demand, demand_lag_1, fold,
-                 CASE WHEN idx < start THEN 'train' ELSE 'test' END AS role
-          FROM fx WHERE idx < start + {FOLD_SIZE} AND start > 0)"""
+                 CASE WHEN idx < start THEN 'train' ELSE 'test' END AS role, CAST(NULL AS VARCHAR) AS reason
+          FROM fx WHERE idx < start + {FOLD_SIZE} AND n > {N_FOLDS * FOLD_SIZE}
+          UNION ALL
+          SELECT series, max(date), NULL, NULL, NULL, NULL, 'too short for the folds: ' || count(*) FILTER (split <> 'test')
+                 || ' trainval rows, {N_FOLDS} folds of {FOLD_SIZE} need {N_FOLDS * FOLD_SIZE + 1}'
+          FROM mf GROUP BY series HAVING count(*) FILTER (split <> 'test') <= {N_FOLDS * FOLD_SIZE})"""
 
 
 def _folds(spark, sf_dir):
     return walk_forward_folds(model_frame(spark, sf_dir), N_FOLDS, FOLD_SIZE, P.KEYS)
 
 
-@register("walk_forward_folds", sql=_FOLDS_SQL + " SELECT series, date, fold, role FROM folds")
+@register("walk_forward_folds", sql=_FOLDS_SQL + " SELECT series, date, fold, role, reason FROM folds")
 def walk_forward_folds_q(spark, sf_dir):
-    return _folds(spark, sf_dir).select("series", "date", "fold", "role")
+    return _folds(spark, sf_dir).select("series", "date", "fold", "role", "reason")
 
 
 @register("fold_summary", sql=_FOLDS_SQL + f""",

@@ -3,7 +3,8 @@ forecast, sessions.
 
 The gold panel and the feature table are checkpointed to the shared folder
 once, because selection and every fit read them again; after that each fit is
-one MLlib job over the whole panel.
+one MLlib job over the whole panel. A session is a folder of tables and one manifest
+row that is written last: what has no manifest row does not exist.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from panelcast.operators import features as FE
 from panelcast.operators import model as MD
 from panelcast.operators import stats as ST
 from panelcast.operators.recursive import recursive_forecast
-from panelcast.operators.splits import temporal_split, walk_forward_folds
+from panelcast.operators.splits import fold_table, temporal_split
 from panelcast.plans import panels as P
 from panelcast.session import cut_lineage, scratch_path
 
@@ -43,6 +44,16 @@ class RunParams:
     base_trees: MD.TreeParams = field(default_factory=lambda: MD.TreeParams())
     space: MD.SearchSpace = field(default_factory=MD.SearchSpace)
     repeats: int = 50               # shuffles of each feature in the permutation importance
+    patience: int = MD.PATIENCE     # rounds without gain that stop a search trial
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def from_json(cls, text: str) -> RunParams:
+        d = json.loads(text)
+        space = MD.SearchSpace(**{k: tuple(v) for k, v in d.pop("space").items()})
+        return cls(**{**d, "base_trees": MD.TreeParams(**d["base_trees"]), "space": space})
 
     @classmethod
     def quick(cls, **changes) -> RunParams:
@@ -64,16 +75,19 @@ def prepared_frame(spark: SparkSession, sf_dir: str, rp: RunParams) -> tuple[Dat
     cands = [c for c in feat.columns if c not in P.KEYS + ["date", P.TARGET]]
     kept = FE.target_corr_table(feat, FP, TEST_START, cands).filter(F.col("corr_abs") >= rp.target_corr_t)
     feature_cols = [r["feature"] for r in kept.orderBy(F.col("corr_abs").desc(), "feature").collect()]
+    return weighted(feat, feature_cols, rp), feature_cols
+
+
+def weighted(feat: DataFrame, feature_cols: list[str], rp: RunParams) -> DataFrame:
+    """Split labels and recency weights beside the chosen feature columns."""
     df = temporal_split(feat, VAL_START, TEST_START).select(*P.KEYS, "date", P.TARGET, "split", *feature_cols)
     w_desc = Window.partitionBy(*P.KEYS, F.col("split") == "train").orderBy(F.col("date").desc())
     w_tv = Window.partitionBy(*P.KEYS, F.col("split") != "test").orderBy(F.col("date").desc())
     lam = F.lit(rp.lam)
-    df = df.withColumns({
+    return df.withColumns({
         "w_train": F.when(F.col("split") == "train", F.pow(lam, (F.row_number().over(w_desc) - 1).cast("double"))),
         "w_trainval": F.when(F.col("split") != "test", F.pow(lam, (F.row_number().over(w_tv) - 1).cast("double"))),
     })
-    # weights are two windows over the checkpointed features; MLlib caches its own input
-    return df, feature_cols
 
 
 def spec_for(feature_cols: list[str], weight: str, rp: RunParams) -> MD.TrainSpec:
@@ -82,35 +96,64 @@ def spec_for(feature_cols: list[str], weight: str, rp: RunParams) -> MD.TrainSpe
 
 @dataclass
 class TrainResult:
+    params: RunParams
     frame: DataFrame
     feature_cols: list[str]
     best: MD.TreeParams
-    trials: DataFrame
-    model: PipelineModel
-    predictions: DataFrame
-    metrics: DataFrame
+    trials: DataFrame | None
+    model: PipelineModel | None
+    predictions: DataFrame | None
+    metrics: DataFrame | None
     cv: DataFrame | None
+    rejected: DataFrame | None = None       # series that are too short for the folds
+    importance: DataFrame | None = None     # of the selection step, where it ran
+
+
+def select_by_permutation(df: DataFrame, feature_cols: list[str], rp: RunParams,
+                          protected: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """The selection step of training: fit on train, shuffle each feature on val, keep those
+    whose shuffling costs accuracy; protected names always stay. (importances, names kept)."""
+    spec = spec_for(feature_cols, "w_train", rp)
+    model = MD.fit_boosted_trees(df.filter(F.col("split") == "train"), spec, rp.base_trees, seed=rp.seed)
+    named = [c for c in (PROTECTED if protected is None else protected) if c in feature_cols]
+    return MD.permutation_importance(model, df.filter(F.col("split") == "val"), spec, repeats=rp.repeats,
+                                     protected=named, seed=rp.seed)
 
 
 def train(spark: SparkSession, sf_dir: str, rp: RunParams | None = None, with_cv: bool = True,
-          with_search: bool = True) -> TrainResult:
+          with_search: bool = True, select: bool = False, with_final: bool = True) -> TrainResult:
+    """Prepare, optionally select by permutation, search, cross-validate and fit the final model."""
     rp = rp or RunParams()
     df, cols = prepared_frame(spark, sf_dir, rp)
+    return train_on(df, cols, rp, with_cv, with_search, select, with_final)
+
+
+def train_on(df: DataFrame, cols: list[str], rp: RunParams, with_cv: bool = True, with_search: bool = True,
+             select: bool = False, with_final: bool = True, protected: list[str] | None = None) -> TrainResult:
+    """``train`` on a prepared frame: key, date, target, split, features and weights."""
+    importance = None
+    if select:
+        importance, cols = select_by_permutation(df, cols, rp, protected)
+        df = df.select(*P.KEYS, "date", P.TARGET, "split", *cols, "w_train", "w_trainval")
     if with_search:
         trials, best = MD.hyperparameter_search(df, spec_for(cols, "w_train", rp), rp.space, rp.n_trials,
-                                                seed=rp.seed)
+                                                seed=rp.seed, patience=rp.patience)
     else:
         trials, best = None, rp.base_trees
     tv_spec = spec_for(cols, "w_trainval", rp)
-    cv = None
+    out = TrainResult(rp, df, cols, best, trials, None, None, None, None, importance=importance)
     if with_cv:
-        # every fold fit reads the fold table: materialise it once (K copies of trainval rows)
-        folds = cut_lineage(walk_forward_folds(df, rp.n_folds, rp.fold_size, P.KEYS))
-        cv = MD.walk_forward_cv(folds, tv_spec, best, seed=rp.seed)
-    model = MD.fit_boosted_trees(df.filter(F.col("split") != "test"), tv_spec, best, seed=rp.seed)
-    pred = model.transform(df).select(*P.KEYS, "date", "split", F.col(P.TARGET).alias("y_real"), "y_pred")
-    metrics = ST.regression_metrics(pred, group=["split"])
-    return TrainResult(df, cols, best, trials, model, pred, metrics, cv)
+        folds, out.rejected = fold_table(df, rp.n_folds, rp.fold_size, P.KEYS)
+        out.cv = MD.walk_forward_cv(folds, tv_spec, best, seed=rp.seed)
+    if with_final:
+        out.model = MD.fit_boosted_trees(df.filter(F.col("split") != "test"), tv_spec, best, seed=rp.seed)
+        out.predictions = predictions_of(out.model, df)
+        out.metrics = ST.regression_metrics(out.predictions, group=["split"])
+    return out
+
+
+def predictions_of(model: PipelineModel, df: DataFrame) -> DataFrame:
+    return model.transform(df).select(*P.KEYS, "date", "split", F.col(P.TARGET).alias("y_real"), "y_pred")
 
 
 def forecast_from(df: DataFrame, feature_cols: list[str], best: MD.TreeParams,
@@ -124,48 +167,103 @@ def forecast_from(df: DataFrame, feature_cols: list[str], best: MD.TreeParams,
 
 
 def forecast(res: TrainResult, rp: RunParams | None = None) -> DataFrame:
-    return forecast_from(res.frame, res.feature_cols, res.best, rp)
+    return forecast_from(res.frame, res.feature_cols, res.best, rp or res.params)
 
 
 # ------------------------------------------------------------------- sessions
 
+MANIFEST = ("session_id string, run_params string, feature_params string, params string, metrics string, cv_mape array<double>, "
+            "feature_cols array<string>, data_min date, data_max date, path string, created_at timestamp")
+FORECASTS = "session_id string, path string, created_at timestamp"
+
+
 def sessions_path(spark: SparkSession, base: str | None = None) -> str:
     return base or scratch_path(spark, "sessions")
 
 
 def save_session(spark: SparkSession, res: TrainResult, base: str, forecast_df: DataFrame | None = None) -> str:
-    """Model, parameters, metrics and validation rows under one session id; one
-    row appended to the ``sessions`` table (append keeps earlier sessions)."""
-    sid = F.date_format(F.current_timestamp(), "yyyy-MM-dd_HH-mm-ss")
-    sid = spark.range(1).select(sid).collect()[0][0] + "_" + uuid.uuid4().hex[:6]
+    """Model, validation rows and folds under one session id, then the manifest row with all
+    parameters and metrics: a session whose writing failed half-way is never listed."""
+    now = spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd_HH-mm-ss")).first()[0]
+    sid = now + "_" + uuid.uuid4().hex[:6]
     path = f"{base}/{sid}"
     res.model.write().overwrite().save(f"{path}/model")
-    res.predictions.write.mode("overwrite").parquet(f"{path}/validation")
-    if forecast_df is not None:
-        forecast_df.write.mode("overwrite").parquet(f"{path}/forecast")
-    metrics = {r["split"]: {k: r[k] for k in ("r2", "mse", "mae", "mape")} for r in res.metrics.collect()}
+    rows = res.model.transform(res.frame).withColumnRenamed(P.TARGET, "y_real")
+    rows.select(*P.KEYS, "date", "split", *res.feature_cols, "y_real", "y_pred").write.parquet(f"{path}/validation")
+    metrics = {r["split"]: {k: r[k] for k in METRICS} for r in res.metrics.collect()}
     cv = [r["mape"] for r in res.cv.orderBy("fold").collect()] if res.cv is not None else []
-    bounds = res.frame.agg(F.min("date").alias("a"), F.max("date").alias("b")).collect()[0]
-    row = [(sid, json.dumps(asdict(res.best)), json.dumps({"by_split": metrics, "cv_mape": cv}),
+    if forecast_df is not None:
+        add_forecast(spark, base, sid, forecast_df)
+    bounds = res.frame.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
+    row = [(sid, res.params.to_json(), json.dumps(asdict(FP)), json.dumps(asdict(res.best)), json.dumps(metrics), cv,
             res.feature_cols, bounds["a"], bounds["b"], path)]
-    t = spark.createDataFrame(row, "session_id string, params string, metrics string, "
-                                   "feature_cols array<string>, data_min date, data_max date, path string")
-    t.withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(f"{base}/sessions")
+    manifest = spark.createDataFrame(row, MANIFEST.rsplit(",", 1)[0]).withColumn("created_at", F.current_timestamp())
+    manifest.write.mode("append").parquet(f"{base}/sessions")
     return sid
 
 
+METRICS = ("r2", "mse", "mae", "mape")
+
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of a sessions folder; without rows where nothing was written yet."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def list_sessions(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/sessions").orderBy(F.col("created_at").desc(), F.col("session_id").desc())
+    """Sessions with a manifest, newest first."""
+    return _table(spark, f"{base}/sessions", MANIFEST).orderBy(F.col("created_at").desc(), F.col("session_id").desc())
 
 
-def load_session(spark: SparkSession, base: str, session_id: str, sf_dir: str) -> DataFrame:
-    """Reload the model and predict every split again on features rebuilt from the
-    *current* master panel with the saved column list (no re-selection)."""
-    meta = list_sessions(spark, base).filter(F.col("session_id") == session_id).limit(1).collect()
-    if not meta:
+def _manifest(spark: SparkSession, base: str, session_id: str):
+    meta = list_sessions(spark, base).filter(F.col("session_id") == session_id).first()
+    if meta is None:
         raise ValueError(f"no session {session_id}")
-    cols = list(meta[0]["feature_cols"])
-    model = PipelineModel.load(f"{meta[0]['path']}/model")
-    feat = FE.rebuild_features(P.master_panel(spark, sf_dir), FP, cols)
-    feat = temporal_split(feat, VAL_START, TEST_START)
-    return model.transform(feat).select(*P.KEYS, "date", "split", F.col(P.TARGET).alias("y_real"), "y_pred")
+    return meta
+
+
+def load_session(spark: SparkSession, base: str, session_id: str, sf_dir: str) -> TrainResult:
+    """The training result of a stored session.
+
+    Model, parameters, metrics and folds come from the session; the feature rows are
+    rebuilt from the *current* master panel with the saved parameters and columns (no
+    new selection), from the first month each series had when it was saved."""
+    meta = _manifest(spark, base, session_id)
+    if json.loads(meta["feature_params"]) != asdict(FP):
+        raise ValueError(f"session {session_id} was trained with other feature parameters: {meta['feature_params']}")
+    rp, cols = RunParams.from_json(meta["run_params"]), list(meta["feature_cols"])
+    first = load_validation(spark, base, session_id).groupBy(*P.KEYS).agg(F.min("date").alias("_first"))
+    feat = FE.rebuild_features(P.master_panel(spark, sf_dir), FP, cols).join(first, P.KEYS, "left")
+    feat = feat.filter(F.col("_first").isNull() | (F.col("date") >= F.col("_first"))).drop("_first")
+    if rp.until:
+        feat = feat.filter(F.col("date") < F.to_date(F.lit(rp.until)))
+    df = weighted(cut_lineage(feat), cols, rp)
+    model = PipelineModel.load(f"{meta['path']}/model")
+    by_split = json.loads(meta["metrics"])
+    metrics = spark.createDataFrame([(s, *[m[k] for k in METRICS]) for s, m in by_split.items()],
+                                    "split string, " + ", ".join(f"{k} double" for k in METRICS))
+    cv = spark.createDataFrame(list(enumerate(meta["cv_mape"])), "fold int, mape double")
+    return TrainResult(rp, df, cols, MD.TreeParams(**json.loads(meta["params"])), None, model, predictions_of(model, df), metrics, cv)
+
+
+def load_validation(spark: SparkSession, base: str, session_id: str) -> DataFrame:
+    """Features, real and predicted values of every split as they were when saved."""
+    return spark.read.parquet(f"{_manifest(spark, base, session_id)['path']}/validation")
+
+
+def add_forecast(spark: SparkSession, base: str, session_id: str, forecast_df: DataFrame) -> str:
+    """Store a forecast with a session; the newest one is the session's forecast."""
+    path = f"{base}/{session_id}/forecast-{uuid.uuid4().hex[:6]}"
+    forecast_df.write.parquet(path)
+    row = spark.createDataFrame([(session_id, path)], "session_id string, path string")
+    row.withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(f"{base}/forecasts")
+    return path
+
+
+def load_forecast(spark: SparkSession, base: str, session_id: str) -> DataFrame | None:
+    found = _table(spark, f"{base}/forecasts", FORECASTS).filter(F.col("session_id") == session_id)
+    last = found.orderBy(F.col("created_at").desc()).first()
+    return spark.read.parquet(last["path"]) if last else None

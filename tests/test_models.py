@@ -120,8 +120,10 @@ def test_order_choice_is_free_of_units_and_short_series_stay(spark):
 def test_arimax_takes_every_selected_external_column(spark, sf_small, monkeypatch):
     from panelcast.plans import panels, q_model
     seen = {}
-    monkeypatch.setattr(q_model.T, "prepared_frame", lambda *a: (None, ["demand_lag_1", "rev_p2", "qty_a", "trend", "qty_a_lag_2", "demand_ma3"]))
-    monkeypatch.setattr(q_model.SA, "arima_grid", lambda *a: None)
+    monkeypatch.setattr(q_model, "_SHARED", {})
+    monkeypatch.setattr(q_model, "_prepared", lambda *a: (None, ["demand_lag_1", "rev_p2", "qty_a", "trend", "qty_a_lag_2", "demand_ma3"]))
+    monkeypatch.setattr(q_model, "_grid", lambda *a: None)
+    monkeypatch.setattr(q_model.T, "cut_lineage", lambda df: df)
     monkeypatch.setattr(q_model.SA, "best_orders", lambda *a: None)
     monkeypatch.setattr(q_model.SA, "arima_forecast", lambda df, *a, exog: seen.update(exog=exog, cols=df.columns))
     q_model.seasonal_arimax_forecast_q(spark, sf_small)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import stats as ST
 from panelcast.operators.quality import validate_output, validation_report
-from panelcast.operators.splits import split_checks, temporal_split, walk_forward_folds
+from panelcast.operators.splits import fold_table, split_checks, temporal_split, walk_forward_folds
 
 
 def months(n):
@@ -89,12 +89,20 @@ def test_walk_forward_folds_expand_and_are_disjoint(spark):
 
 
 @pytest.mark.parametrize("n, last", [(12, "train"), (3, "train"), (3, "test")])
-def test_walk_forward_folds_fail_on_a_short_series(spark, n, last):
-    rows = [("long", d, "train") for d in months(24)] + [("short", d, last) for d in months(n)]
+def test_short_series_come_out_rejected_and_the_others_go_on(spark, n, last):
+    rows = [("long", d, "train") for d in months(24)] + [("short", d, last) for d in months(n)] + [(None, d, "train") for d in months(13)]
     s = spark.createDataFrame(rows, "series string, date date, split string")
-    with pytest.raises(Exception, match=r"series \[short\] is too short for the folds"):
-        walk_forward_folds(s, 3, 4, ["series"]).collect()
-    assert walk_forward_folds(s.filter("series = 'long'"), 3, 4, ["series"]).count() == 16 + 20 + 24
+    out = walk_forward_folds(s, 3, 4, ["series"])
+    assert out.filter("series = 'long'").count() == 16 + 20 + 24
+    assert out.filter("series is null and fold is not null").count() == 5 + 9 + 13      # 13 rows are just enough
+    short = out.filter("series = 'short'").collect()
+    own = n if last == "train" else 0
+    assert [(r["date"], r["fold"], r["role"], r["reason"]) for r in short] == [
+        (months(n)[-1], None, None, f"too short for the folds: {own} trainval rows, 3 folds of 4 need 13")]
+    folds, rejected = fold_table(s, 3, 4, ["series"])
+    assert folds.columns == ["series", "date", "split", "fold", "role"] and folds.filter("series = 'short'").count() == 0
+    assert [r["series"] for r in rejected.collect()] == ["short"]
+    assert walk_forward_folds(s.limit(0), 3, 4, ["series"]).count() == 0
 
 
 def test_validate_output_reports_all(spark):
