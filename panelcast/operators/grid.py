@@ -128,6 +128,28 @@ def promote_header(grid: DataFrame, keep: list[str] | None = None) -> DataFrame:
         *keep, *[F.col(c).alias(str(n)) for c, n in zip(cols, names) if n is not None])
 
 
+def promote_headers(grid: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Every file's own first row names its columns: (keep, names).
+
+    The columns are those any file has, in the order they first come; a file's cell goes
+    under its own name wherever the file has it, and a file without a name has NULL there.
+    Header rows are dropped, columns without a name too. A file that names two columns
+    alike is an error. One header row for each file; only names reach the driver."""
+    cols, keep = grid_columns(grid), list(keep or [])
+    line = F.array(*[F.col(c) for c in cols])
+    heads = cut_lineage(grid.groupBy(FILE).agg(F.min("row_idx").alias("_head"), F.min_by(line, "row_idx").alias("_names")))
+    pairs = heads.select(FILE, F.posexplode("_names").alias("at", "name")).filter(F.col("name").isNotNull())
+    twice = pairs.groupBy(FILE, "name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if twice:
+        raise ValueError(f"{twice[FILE]}: two columns named {twice['name']}")
+    names = [r["name"] for r in pairs.groupBy("name").agg(F.min(F.struct(F.col(FILE), F.col("at"))).alias("first")).orderBy("first").collect()]
+    if not names:
+        raise ValueError("empty landed grid")
+    places = pairs.groupBy(FILE).agg(F.map_from_entries(F.collect_list(F.struct("name", "at"))).alias("_at"))
+    body = grid.withColumn("_line", line).join(heads.select(FILE, "_head"), FILE).filter(F.col("row_idx") > F.col("_head")).join(places, FILE)
+    return body.select(*keep, *[F.get("_line", F.try_element_at("_at", F.lit(n))).alias(n) for n in names])
+
+
 def block_header_map(grid: DataFrame, header_idx: int, variables: list[str],
                      first_name: str = "Date") -> DataFrame:
     """``(file, col_idx, name)`` of a two-level merged header, for every file by itself.

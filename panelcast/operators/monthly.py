@@ -19,14 +19,18 @@ def _keys(keys) -> list[str]:
     return list(keys or [])
 
 
+#: Sums with a scale are added up in this type: ten decimals, totals below 1e28.
+ADDEND = "decimal(28,10)"
+
+
 def exact_sum(c: Column, scale: int | None) -> Column:
-    """Sum; with ``scale`` the total is rounded to the inputs' fixed decimals.
+    """Sum; with ``scale`` it is added up in decimals and rounded to that many at the end.
 
-    Float addition depends on the order rows meet in the tasks, so a plain sum
-    can change in its last bits between runs or partitionings. Inputs with a
-    fixed number of decimals (money) have an exact total at that scale, so
-    rounding to it makes the result reproducible everywhere."""
-    return F.sum(c) if scale is None else F.round(F.sum(c), scale)
+    Float addition depends on the order rows meet in the tasks, so a plain sum can change
+    in its last bits between runs or partitionings. Decimal addition does not: values with
+    up to ten decimals give the same total however they are dealt. A value of 1e18 or more
+    is an error, not a silent loss."""
+    return F.sum(c) if scale is None else F.round(F.sum(c.cast(ADDEND)), scale).cast("double")
 
 
 def exact_mean(c: Column, scale: int | None) -> Column:

@@ -13,6 +13,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.operators.ranks import global_rank
+
 def pair_moments(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]],
                  keys: list[str] | None = None) -> DataFrame:
     """Pearson r for the given column-index pairs, one aggregate over a long form.
@@ -202,24 +204,24 @@ def norm_ppf(p: Column) -> Column:
 def qq_points(df: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
     """Normal probability plot points (Filliben positions) and the fitted line.
 
-    Output: (group, i, theoretical, ordered, slope, intercept)."""
+    Output: (group, i, theoretical, ordered, slope, intercept). Without a group the values
+    are ranked over all partitions, not in one task."""
     from pyspark.sql import Window
     g = list(group or [])
-    w = (Window.partitionBy(*g) if g else Window.partitionBy()).orderBy(F.col(value))
-    n = F.count(F.lit(1)).over(Window.partitionBy(*g) if g else Window.partitionBy())
-    ranked = df.filter(F.col(value).isNotNull()).select(
-        *g, F.col(value).alias("ordered"), F.row_number().over(w).alias("i"), n.alias("n"))
+    there = df.filter(F.col(value).isNotNull()).select(*g, F.col(value).alias("ordered"))
+    if g:
+        w = Window.partitionBy(*g)
+        ranked = there.select("*", F.row_number().over(w.orderBy("ordered")).alias("i"), F.count(F.lit(1)).over(w).alias("n"))
+    else:
+        ranked, n = global_rank(there, ["ordered"], "i")
+        ranked = ranked.withColumn("n", F.lit(n))
     last = F.pow(F.lit(0.5), F.lit(1.0) / F.col("n"))
     pos = (F.when(F.col("i") == F.col("n"), last)
            .when(F.col("i") == 1, F.lit(1.0) - last)
            .otherwise((F.col("i") - F.lit(0.3175)) / (F.col("n") + F.lit(0.365))))
     pts = ranked.withColumn("theoretical", norm_ppf(pos))
-    fit = (pts.groupBy(*g) if g else pts.groupBy()).agg(
+    fit = pts.groupBy(*g).agg(
         F.regr_slope("ordered", "theoretical").alias("slope"),
         F.regr_intercept("ordered", "theoretical").alias("intercept"))
-    if g:
-        return pts.join(fit, g).select(*g, "i", "theoretical", "ordered", "slope", "intercept")
-    return pts.withColumn("_one", F.lit(1)).join(F.broadcast(fit.withColumn("_one", F.lit(1))), "_one") \
-              .select("i", "theoretical", "ordered", "slope", "intercept")
-
-
+    both = pts.join(fit, g) if g else pts.join(F.broadcast(fit))        # one row
+    return both.select(*g, "i", "theoretical", "ordered", "slope", "intercept")

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.operators.ranks import global_rank
+
 
 def series_window(keys: list[str] | None, date: str = "date", descending: bool = False):
     order = F.col(date).desc() if descending else F.col(date).asc()
@@ -69,6 +71,11 @@ def ffill_bfill(df: DataFrame, cols: list[str], keys=None, date="date",
 
 
 def trend_index(df: DataFrame, keys=None, date="date", out="trend") -> DataFrame:
+    """Number of the row in its series, from 0; without keys the whole table is one series,
+    numbered over all partitions."""
+    if not keys:
+        ranked, _ = global_rank(df, [date], out)
+        return ranked.withColumn(out, F.col(out) - F.lit(1))
     return df.withColumn(out, F.row_number().over(series_window(keys, date)) - F.lit(1))
 
 

@@ -20,7 +20,8 @@ from panelcast.session import scratch_path
 SILVER = ["orders_monthly", "shipments_by_flag", "shipment_prices", "revenue_by_priority", "order_counts"]
 
 
-def build_silver(spark: SparkSession, sf_dir: str, as_of: str, base: str | None = None) -> list[str]:
+def build_silver(spark: SparkSession, sf_dir: str, as_of: str, base: str | None = None, layer: str = "silver") -> list[str]:
+    """Validated silver tables in the database ``layer`` (one of its own for runs side by side)."""
     o, li = P.silver_sources(spark, sf_dir)
     qty, price, rev, cnt = P.features_from_silver(o, li)
     tables = dict(zip(SILVER, [o.select("series", "date", "revenue"), qty, price, rev, cnt]))
@@ -29,16 +30,17 @@ def build_silver(spark: SparkSession, sf_dir: str, as_of: str, base: str | None
     for name, df in tables.items():
         validate_output(df, name, min_rows=12, required=[c for c in df.columns if c != "date"][:1],
                         date_col="date", recent_months=12, as_of=as_of)
-        names.append(K.save_table(df, "silver", name, path=f"{base}/{name}"))
+        names.append(K.save_table(df, layer, name, path=f"{base}/{name}"))
     return names
 
 
-def build_gold(spark: SparkSession, as_of: str, base: str | None = None) -> DataFrame:
-    require_tables(spark, [K.table_name("silver", t) for t in SILVER])
-    anchor = K.read_table(spark, "silver", "orders_monthly").withColumnRenamed("revenue", P.TARGET)
-    feats = [K.read_table(spark, "silver", t) for t in SILVER[1:]]
+def build_gold(spark: SparkSession, as_of: str, base: str | None = None, layer: str = "gold", silver: str = "silver") -> DataFrame:
+    """The gold master table in the database ``layer`` from the tables of ``silver``."""
+    require_tables(spark, [K.table_name(silver, t) for t in SILVER])
+    anchor = K.read_table(spark, silver, "orders_monthly").withColumnRenamed("revenue", P.TARGET)
+    feats = [K.read_table(spark, silver, t) for t in SILVER[1:]]
     gold = ffill_bfill(left_merge_chain(anchor, feats, keys=P.KEYS), P.FEATURE_COLS, keys=P.KEYS)
     validate_output(gold, "master_panel", min_rows=60, required=["date", P.TARGET], date_col="date",
                     recent_months=12, as_of=as_of)
-    K.save_table(gold, "gold", "master_panel", path=(base or scratch_path(spark, "gold")) + "/master_panel")
-    return K.read_table(spark, "gold", "master_panel")
+    K.save_table(gold, layer, "master_panel", path=(base or scratch_path(spark, "gold")) + "/master_panel")
+    return K.read_table(spark, layer, "master_panel")

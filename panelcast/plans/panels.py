@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.scalars import to_month
 from panelcast.operators.joins import left_merge_chain
-from panelcast.operators.monthly import fill_months, monthly_mean, monthly_pivot
+from panelcast.operators.monthly import exact_sum, fill_months, monthly_mean, monthly_pivot
 from panelcast.operators.windows import ffill_bfill
 from panelcast.session import cut_lineage, table_path
 
@@ -46,7 +46,12 @@ def demand_target(orders: DataFrame) -> DataFrame:
     return (orders.filter(F.col("o_orderdate").isNotNull())
             .groupBy(F.col("o_orderpriority").alias("series"),
                      to_month("o_orderdate").alias("date"))
-            .agg(F.round(F.sum("o_totalprice"), 2).alias(TARGET)))
+            .agg(exact_sum(F.col("o_totalprice"), 2).alias(TARGET)))
+
+
+def target_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(series, date, demand) for what needs the target alone: one aggregate of orders."""
+    return demand_target(load(spark, sf_dir, "orders"))
 
 
 def qty_by_flag(lineitem: DataFrame) -> DataFrame:
@@ -74,7 +79,7 @@ def orders_silver(orders: DataFrame) -> DataFrame:
     """Silver monthly orders: (series, date, revenue, n_orders), one row per priority-month."""
     return (orders.filter(F.col("o_orderdate").isNotNull())
             .groupBy(F.col("o_orderpriority").alias("series"), to_month("o_orderdate").alias("date"))
-            .agg(F.round(F.sum("o_totalprice"), 2).alias("revenue"), F.count(F.lit(1)).alias("n_orders")))
+            .agg(exact_sum(F.col("o_totalprice"), 2).alias("revenue"), F.count(F.lit(1)).alias("n_orders")))
 
 
 def lineitem_silver(lineitem: DataFrame) -> DataFrame:
@@ -84,10 +89,10 @@ def lineitem_silver(lineitem: DataFrame) -> DataFrame:
     these partial totals are exact and match a sum over the raw lines."""
     return (lineitem.filter(F.col("l_shipdate").isNotNull())
             .groupBy(to_month("l_shipdate").alias("date"), "l_returnflag")
-            .agg(F.round(F.sum("l_quantity"), 2).alias("qty"),
-                 F.round(F.sum("l_extendedprice"), 2).alias("price_sum"),
+            .agg(exact_sum(F.col("l_quantity"), 2).alias("qty"),
+                 exact_sum(F.col("l_extendedprice"), 2).alias("price_sum"),
                  F.count("l_extendedprice").alias("price_n"),
-                 F.round(F.sum("l_discount"), 2).alias("disc_sum"),
+                 exact_sum(F.col("l_discount"), 2).alias("disc_sum"),
                  F.count("l_discount").alias("disc_n")))
 
 
@@ -110,8 +115,8 @@ def silver_sources(spark: SparkSession, sf_dir: str, materialize: bool = True):
 def features_from_silver(o: DataFrame, li: DataFrame) -> list[DataFrame]:
     qty = monthly_pivot(li, "date", "l_returnflag", "qty", RETURN_FLAGS, names=QTY_COLS, scale=2)
     tot = li.groupBy("date").agg(
-        F.try_divide(F.round(F.sum("price_sum"), 2), F.sum("price_n")).alias("price_mean"),
-        F.try_divide(F.round(F.sum("disc_sum"), 2), F.sum("disc_n")).alias("discount_mean"))
+        F.try_divide(exact_sum(F.col("price_sum"), 2), F.sum("price_n")).alias("price_mean"),
+        F.try_divide(exact_sum(F.col("disc_sum"), 2), F.sum("disc_n")).alias("discount_mean"))
     price = fill_months(tot)
     rev = monthly_pivot(o, "date", "series", "revenue", PRIORITIES, names=PRIORITY_COLS, scale=2)
     cnt = o.select("series", "date", "n_orders")
@@ -144,12 +149,12 @@ def nation_target(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
     the schema) is broadcast."""
     cm = (orders.filter(F.col("o_orderdate").isNotNull())
           .groupBy("o_custkey", to_month("o_orderdate").alias("date"))
-          .agg(F.round(F.sum("o_totalprice"), 2).alias("rev")))
+          .agg(exact_sum(F.col("o_totalprice"), 2).alias("rev")))
     cust = customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     joined = cm.join(cust, "o_custkey").join(
         F.broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))),
         "c_nationkey")
-    return joined.groupBy("nation", "date").agg(F.round(F.sum("rev"), 2).alias(TARGET))
+    return joined.groupBy("nation", "date").agg(exact_sum(F.col("rev"), 2).alias(TARGET))
 
 
 def nation_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

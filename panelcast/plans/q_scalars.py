@@ -122,7 +122,7 @@ def _human_sql(v: str) -> str:
 SELECT series, date, {_human_sql('demand')} AS demand_label, {_human_sql('CAST(n_orders AS DOUBLE)')} AS orders_label,
        {_human_sql('demand * 100.0')} AS scaled_label FROM master""")
 def human_scale_q(spark, sf_dir):
-    m = P.master_panel(spark, sf_dir)
+    m = P.orders_silver(P.load(spark, sf_dir, "orders")).withColumnRenamed("revenue", P.TARGET)
     return m.select("series", "date", X.human_scale("demand").alias("demand_label"),
                     X.human_scale("n_orders").alias("orders_label"),
                     X.human_scale(F.col("demand") * F.lit(100.0)).alias("scaled_label"))

@@ -6,6 +6,8 @@ Each query first lands a raw artefact derived from the driver tables (see
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -218,6 +220,23 @@ def promote_header_q(spark, sf_dir):
     return G.promote_header(_region_grid(spark, sf_dir))
 
 
+def _turned_grid(spark, sf_dir):
+    """The region responses with the columns of every other region in reverse order."""
+    rows = L.region_response_rows(*(P.load(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region")))
+    n = len(L.REGION_LABELS)
+    odd = F.col("r_regionkey") % 2 == 1
+    turned = rows.select("r_regionkey", "row_idx", *[F.when(odd, F.col(f"col_{n - 1 - i}")).otherwise(F.col(f"col_{i}")).alias(f"col_{i}") for i in range(n)])
+    paths, n = L.land_region_responses(spark, turned)
+    return FS.region_union_scan(spark, paths, n)
+
+
+@register("region_headers_by_name", sql=_RAW_REGION_SQL + " SELECT file, " + ", ".join(
+    f'col_{i} AS "{t}"' for i, t in enumerate(L.REGION_LABELS)) + " FROM data")
+def region_headers_by_name_q(spark, sf_dir):
+    """Responses whose columns come in two orders, every file by its own header row."""
+    return G.promote_headers(_turned_grid(spark, sf_dir), keep=["file"])
+
+
 _REGION_DATA_SQL = f"""
 WITH om AS (SELECT o_custkey, o_orderstatus, {M_ORDER} AS month, sum(o_totalprice) AS rev, count(*) AS cnt
             FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, 3),
@@ -334,6 +353,15 @@ def latest_snapshot_q(spark, sf_dir):
     return FS.latest_snapshot(spark, f"{base}/snapshot=*")
 
 
+@register("last_modified_check", sql="SELECT count(*) > 0 AS told, TRUE AS newest FROM orders")
+def last_modified_check_q(spark, sf_dir):
+    """The time is there, and no file behind the path is newer."""
+    base = L.land_snapshots(spark, P.load(spark, sf_dir, "orders"))
+    each = spark.read.parquet(base).select(F.max("_metadata.file_modification_time").alias("m"))
+    return FS.last_modified(base, spark).join(F.broadcast(each)).select(
+        F.col("last_modified").isNotNull().alias("told"), (F.col("last_modified") >= F.col("m")).alias("newest"))
+
+
 @register("last_modified")
 def last_modified_q(spark, sf_dir):
     base = L.land_snapshots(spark, P.load(spark, sf_dir, "orders"))
@@ -342,36 +370,42 @@ def last_modified_q(spark, sf_dir):
 
 # -- tables and sinks -------------------------------------------------------------
 
-def _saved_master(spark, sf_dir, table="master_panel"):
-    name = K.save_table(P.master_panel(spark, sf_dir), "gold", table,
-                        path=scratch_path(spark, f"gold-{table}"))
-    return name
+def _saved_master(spark, sf_dir):
+    """The master panel stored as a table of a database of its own; the database."""
+    layer = f"gold_{uuid.uuid4().hex[:8]}"
+    K.save_table(P.master_panel(spark, sf_dir), layer, "master_panel", path=scratch_path(spark, "gold-master_panel"))
+    return layer
 
 
 @register("save_table", sql=panel_ctes() + " SELECT *, true AS has_audit FROM master")
 def save_table_q(spark, sf_dir):
     # the stored table as written: every column plus a set audit timestamp
-    t = spark.table(_saved_master(spark, sf_dir))
+    t = spark.table(K.table_name(_saved_master(spark, sf_dir), "master_panel"))
     return t.withColumn("has_audit", F.col(K.AUDIT_COL).isNotNull()).drop(K.AUDIT_COL)
 
 
 @register("read_table", sql=panel_ctes() + " SELECT * FROM master")
 def read_table_q(spark, sf_dir):
-    _saved_master(spark, sf_dir)
-    return K.read_table(spark, "gold", "master_panel", order_by="date")
+    return K.read_table(spark, _saved_master(spark, sf_dir), "master_panel", order_by="date")
 
 
 @register("load_master", sql=panel_ctes() + " SELECT * FROM master")
 def load_master_q(spark, sf_dir):
-    _saved_master(spark, sf_dir)
-    return K.load_master(spark)
+    return K.load_master(spark, _saved_master(spark, sf_dir))
 
 
 @register("table_last_modified")
 def table_last_modified_q(spark, sf_dir):
     """Time of the last write of a saved table (the UI cache key), from file metadata."""
-    _saved_master(spark, sf_dir)
-    return K.table_last_modified(spark, "gold", "master_panel")
+    return K.table_last_modified(spark, _saved_master(spark, sf_dir), "master_panel")
+
+
+@register("table_last_modified_check", sql="SELECT count(*) > 0 AS told, TRUE AS recent FROM orders")
+def table_last_modified_check_q(spark, sf_dir):
+    """The time is there, and not before the table was written."""
+    start = spark.range(1).select(F.current_timestamp()).first()[0]
+    t = K.table_last_modified(spark, _saved_master(spark, sf_dir), "master_panel")
+    return t.select(F.col("last_modified").isNotNull().alias("told"), (F.col("last_modified") >= F.lit(start) - F.expr("INTERVAL 1 MINUTE")).alias("recent"))
 
 
 @register("normalise_for_write", sql="""

@@ -182,6 +182,18 @@ def qq_points_q(spark, sf_dir):
                       F.round("intercept", 6).alias("intercept"))
 
 
+@register("qq_points_overall", sql=preds_sql(["naive"]) + f""",
+r AS (SELECT y_real - y_pred AS ordered, row_number() OVER (ORDER BY y_real - y_pred) AS i, count(*) OVER () AS n FROM preds),
+pts AS (SELECT CAST(i AS INTEGER) AS i, ordered, {S.norm_ppf('(' + _POS + ')')} AS theoretical FROM r),
+fit AS (SELECT regr_slope(ordered, theoretical) AS slope, regr_intercept(ordered, theoretical) AS intercept FROM pts)
+SELECT i, round(theoretical, 9) + 0.0 AS theoretical, round(ordered, 9) + 0.0 AS ordered,
+       round(slope, 6) + 0.0 AS slope, round(intercept, 6) + 0.0 AS intercept FROM pts, fit""")
+def qq_points_overall_q(spark, sf_dir):
+    """One Q-Q plot of all residuals, ranked over all partitions."""
+    out = ST.qq_points(_naive_resid(spark, sf_dir), "residual")
+    return out.select("i", *[F.round(c, d).alias(c) for c, d in (("theoretical", 9), ("ordered", 9), ("slope", 6), ("intercept", 6))])
+
+
 @register("histogram", sql=preds_sql(["naive"]) + """,
 r AS (SELECT split, y_real - y_pred AS x FROM preds),
 b AS (SELECT split, min(x) AS lo, max(x) AS hi FROM r GROUP BY split),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelcast.operators.joins import inner_merge_chain
@@ -18,12 +20,9 @@ def left_merge_chain_q(spark, sf_dir):
 
 @register("inner_merge_chain", sql=panel_ctes(how="INNER", fill=False) + " SELECT * FROM merged")
 def inner_merge_chain_q(spark, sf_dir):
-    orders = P.load(spark, sf_dir, "orders")
-    lineitem = P.load(spark, sf_dir, "lineitem")
-    return inner_merge_chain(
-        P.demand_target(orders),
-        [P.qty_by_flag(lineitem), P.price_means(lineitem), P.revenue_by_priority(orders),
-         P.order_counts(orders)], keys=P.KEYS)
+    o, li = P.silver_sources(spark, sf_dir)
+    anchor = o.select("series", "date", F.col("revenue").alias(P.TARGET))
+    return inner_merge_chain(anchor, P.features_from_silver(o, li), keys=P.KEYS)
 
 
 @register("ffill_bfill", sql=panel_ctes() + " SELECT * FROM master")
@@ -53,5 +52,6 @@ def nation_panel_q(spark, sf_dir):
 def gold_from_silver_q(spark, sf_dir):
     """The medallion build: validated silver tables, existence check, merge, fill, gold."""
     from panelcast.plans.layers import build_gold, build_silver
-    build_silver(spark, sf_dir, as_of="2002-01-01")
-    return build_gold(spark, as_of="2002-01-01")
+    run = uuid.uuid4().hex[:8]                   # its own databases: runs side by side don't meet
+    build_silver(spark, sf_dir, as_of="2002-01-01", layer=f"silver_{run}")
+    return build_gold(spark, as_of="2002-01-01", layer=f"gold_{run}", silver=f"silver_{run}")

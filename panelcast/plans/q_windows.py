@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import features as FE
 from panelcast.operators import windows as W
+from panelcast.operators.monthly import exact_sum
 from panelcast.plans import panels as P
 from panelcast.plans import sqlgen as S
 from panelcast.plans.oracle_panels import feature_names, features_cte, panel_ctes
@@ -69,14 +70,22 @@ def shifted_rolling_mean_q(spark, sf_dir):
 @register("trend_index", sql=panel_ctes() + f"""
 SELECT series, date, CAST(row_number() OVER {S.win(['series'])} - 1 AS INTEGER) AS trend FROM master""")
 def trend_index_q(spark, sf_dir):
-    return W.trend_index(master(spark, sf_dir), P.KEYS).select("series", "date", "trend")
+    return W.trend_index(P.target_panel(spark, sf_dir), P.KEYS).select("series", "date", "trend")
+
+
+@register("trend_index_overall", sql=panel_ctes() + f"""
+SELECT date, sum(demand) AS demand, CAST(row_number() OVER (ORDER BY date) - 1 AS INTEGER) AS trend FROM master GROUP BY date""")
+def trend_index_overall_q(spark, sf_dir):
+    """The trend of the national total, one series without a key."""
+    total = P.target_panel(spark, sf_dir).groupBy("date").agg(exact_sum(F.col("demand"), 2).alias("demand"))
+    return W.trend_index(total).select("date", "demand", "trend")
 
 
 @register("recency_weight", sql=panel_ctes() + f"""
 SELECT series, date, round(pow({LAMBDA}::DOUBLE, CAST(row_number() OVER {S.win(['series'], desc=True)} - 1 AS DOUBLE)), 12) AS weight
 FROM master""")
 def recency_weight_q(spark, sf_dir):
-    out = W.recency_weight(master(spark, sf_dir), LAMBDA, P.KEYS)
+    out = W.recency_weight(P.target_panel(spark, sf_dir), LAMBDA, P.KEYS)
     return out.select("series", "date", F.round("weight", 12).alias("weight"))
 
 
@@ -85,13 +94,13 @@ SELECT series, date, demand FROM (
   SELECT series, date, demand, row_number() OVER {S.win(['series'], desc=True)} AS rn FROM master)
 WHERE rn <= {LAST_N}""")
 def last_n_q(spark, sf_dir):
-    return W.last_n(master(spark, sf_dir), LAST_N, P.KEYS).select("series", "date", "demand")
+    return W.last_n(P.target_panel(spark, sf_dir), LAST_N, P.KEYS).select("series", "date", "demand")
 
 
 @register("sort_multi", sql=panel_ctes() + """
 SELECT series, date, demand FROM master ORDER BY series, date, demand""")
 def sort_multi_q(spark, sf_dir):
-    return W.sort_multi(master(spark, sf_dir), ["series", "date", "demand"]).select(
+    return W.sort_multi(P.target_panel(spark, sf_dir), ["series", "date", "demand"]).select(
         "series", "date", "demand")
 
 
@@ -110,7 +119,7 @@ SELECT series, date, round(sin(2 * pi() * month(date) / 12.0), 12) + 0.0 AS mont
        round(cos(2 * pi() * month(date) / 12.0), 12) + 0.0 AS month_cos FROM master""")
 def month_cyclic_q(spark, sf_dir):
     from panelcast.functions.scalars import month_cos, month_sin
-    m = master(spark, sf_dir)
+    m = P.target_panel(spark, sf_dir)
     return m.select("series", "date", F.round(month_sin("date"), 12).alias("month_sin"),
                     F.round(month_cos("date"), 12).alias("month_cos"))
 

@@ -30,14 +30,15 @@ def _sheet_name() -> F.Column:
     return F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
 
 
-def scan_landed_grid(spark: SparkSession, path: str | list[str], n_cols: int) -> DataFrame:
+def scan_landed_grid(spark: SparkSession, path: str | list[str], n_cols: int, line_breaks: bool = True) -> DataFrame:
     """Untyped sheet: ``(file, row_idx, col_0 … col_{n-1})``, all cells STRING.
 
-    Quoted cells may hold line breaks (two-line month headers), so the reader
-    runs in multi-line mode (one sheet file per task)."""
+    Quoted cells of a sheet may hold line breaks (two-line month headers); the reader then
+    runs in multi-line mode, one sheet file per task. Files without such cells are read in
+    splits of any size."""
     paths = [path] if isinstance(path, str) else list(path)
     df = (spark.read.schema(grid_schema(n_cols)).option("header", False)
-          .option("multiLine", True).csv(paths))
+          .option("multiLine", line_breaks).csv(paths))
     return df.select(_sheet_name().alias(FILE), *grid_schema(n_cols).fieldNames())
 
 
@@ -62,8 +63,9 @@ def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet") ->
 
 
 def region_union_scan(spark: SparkSession, paths: list[str], n_cols: int) -> DataFrame:
-    """One landed response per region, read as one multi-path scan (a union)."""
-    return scan_landed_grid(spark, paths, n_cols)
+    """One landed response per region, read as one multi-path scan (a union). Their cells
+    hold no line breaks, so a large response is read by many tasks."""
+    return scan_landed_grid(spark, paths, n_cols, line_breaks=False)
 
 
 def last_modified(df_or_path, spark: SparkSession | None = None, fmt: str = "parquet") -> DataFrame:
