@@ -40,8 +40,6 @@ RULES = (
     Rule("stop_words", "n_stop_words", "n_words", 0.02, None, STOP_LANGS),
     Rule("duplicate_lines", "n_dup_chars", "n_line_chars", None, 0.3),
 )
-#: The rules of the oracle SQL, which still counts repeated lines instead of weighing them.
-ORACLE_RULES = (*RULES[:-1], Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 0.3))
 METRICS = ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_stop_words", "n_lines", "n_dup_lines", "n_line_chars",
            "n_dup_chars", "n_repeat_words")
 #: The base rules of the contract.
@@ -166,7 +164,7 @@ def keep_good(docs: DataFrame, rules=RULES) -> DataFrame:
 
 
 ORACLE = """
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, string_split_regex(lower(trim(lang)), '[-_]')[1] AS spoken,
     list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) AS ls
   FROM documents),
@@ -178,7 +176,9 @@ m AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     length(t) - length(replace(t, '!', '')) AS n_exclaims,
     len(list_filter(w, lambda x: lower(x) IN ({stop}))) AS n_stop_words, len(ls) AS n_lines,
-    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, length(array_to_string(ls, '')) AS n_line_chars,
+    length(array_to_string(ls, '')) - length(array_to_string(list_distinct(ls), '')) AS n_dup_chars,
+    coalesce(c.n, 0) AS n_repeat_words, spoken
   FROM d LEFT JOIN c ON d.doc_id = c.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND {rules} AS kept
@@ -186,11 +186,16 @@ FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 """
 
 
-def oracle_sql(rules=ORACLE_RULES) -> str:
+def oracle_sql(rules=RULES) -> str:
     parts = []
-    for r in rules:     # the lists cover the languages of the given tables, so SQL asks for none
+    for r in rules:
         ratio = f"(CASE WHEN {r.per} > 0 THEN {r.metric}::DOUBLE / {r.per} ELSE 0 END)"
-        parts += [f"{ratio} >= {r.least}"] if r.least is not None else []
-        parts += [f"{ratio} <= {r.most}"] if r.most is not None else []
+        bounds = [f"{ratio} >= {r.least}"] if r.least is not None else []
+        bounds += [f"{ratio} <= {r.most}"] if r.most is not None else []
+        held = " AND ".join(bounds)
+        if r.langs is not None:
+            listed = ", ".join(f"'{x}'" for x in r.langs)
+            held = f"({held} OR NOT coalesce(spoken IN ({listed}), false))"
+        parts.append(held)
     stop = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
     return ORACLE.replace("{stop}", stop).replace("{rules}", " AND ".join(parts))
