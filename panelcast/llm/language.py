@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import unicodedata
 import zlib
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,10 @@ from panelcast.session import ship_package
 #: The bounded sample a language is learned from: so many rows, so many characters of each.
 SAMPLE_ROWS, SAMPLE_CHARS = 80, 600
 UNKNOWN = "und"
-_GAPS = re.compile(r"[\W\d_]+")
+#: Number signs that a regular expression takes for word signs though they are no letters
+#: (fractions, circled and Roman numerals; all lie below U+20000).
+_SIGNS = "".join(c for c in map(chr, range(0x80, 0x20000)) if unicodedata.category(c) in ("No", "Nl"))
+_GAPS = re.compile(rf"[\W\d_{re.escape(_SIGNS)}]+")
 
 
 def normalise(text: str) -> str:

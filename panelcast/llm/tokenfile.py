@@ -48,12 +48,14 @@ class WordCache:
 
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
-        self.tok.encode_special_tokens = True           # their strings in a text are ordinary text
         self.kind = {2: "H", 4: "I"}[np.dtype(dtype).itemsize]
         parts = json.loads(spec)
+        # the library cuts these out of a text before anything else: such texts go to it whole
+        self.added = [t["content"] for t in parts.get("added_tokens") or [] if t["content"]]
+        plain = not any(t.get("normalized") for t in parts.get("added_tokens") or [])
         pre = (parts.get("pre_tokenizer") or {})
         first = (pre.get("pretokenizers") or [pre])[0]
-        self.safe = (first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert"))
+        self.safe = (plain and first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert"))
                      and not parts.get("truncation") and not parts.get("padding"))
         lowers = any(n.get("type") == "Lowercase" for n in (parts.get("normalizer") or {}).get("normalizers", []))
         # a Latin word is one pre-token of the splitter; lower-cased it goes straight to the merges
@@ -105,7 +107,7 @@ class WordCache:
         return ids
 
     def encode(self, text: str) -> bytes:
-        if not self.safe:
+        if not self.safe or any(t in text for t in self.added):
             return self._ids(text)
         words = text.replace("\n", " ").split(" ")
         known = list(map(self._words.get, words))

@@ -74,7 +74,6 @@ def test_perfect_hash_is_minimal_and_knows_foreign_keys():
 def test_token_files(docs, no_docs):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
     rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r))
     want, start = [], 0
     for doc_id, text in rows:
@@ -91,7 +90,6 @@ def test_token_files(docs, no_docs):
 def test_word_cache_equals_library():
     from tokenizers import Tokenizer
     tok, spec = Tokenizer.from_file(WORDS), open(WORDS, encoding="utf-8").read()
-    tok.encode_special_tokens = True
     c, rnd = tokenfile.WordCache(spec, "<u2"), random.Random(2)
     units = ["a", "Th", "ER", " ", "\n", "\t", "é", "É", "ß", "İ", "Σ", "中", "🙂", "12", "'s", ".", ",", "\xa0", "<|endoftext|>", "́"]
     assert c.direct
@@ -100,6 +98,30 @@ def test_word_cache_equals_library():
         assert np.frombuffer(c.encode(text), "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_strings_of_added_tokens_are_those_tokens(spark):
+    from tokenizers import Tokenizer
+    tok, texts = Tokenizer.from_file(WORDS), ["hello <|endoftext|> world", "<|startoftext|>a<|endoftext|>", "<|ENDOFTEXT|> b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, index, parts = tokenfile.token_files(df, WORDS)
+    got = {r["doc_id"]: r["ids_crc32"] for r in tokenfile.read_all(df, index, parts).collect()}
+    for i, text in enumerate(texts):
+        ids = tok.encode(text, add_special_tokens=False).ids + [1]
+        assert got[i] == zlib.crc32(np.array(ids, "<u4").tobytes())
+    assert 49407 in tok.encode(texts[0], add_special_tokens=False).ids
+
+
+def test_texts_without_letters_have_no_language(spark):
+    import unicodedata
+    for c in map(chr, range(0x30000)):
+        if not 0xD800 <= ord(c) < 0xE000:
+            letters = [x for x in c.lower() if unicodedata.category(x).startswith("L")]
+            assert "".join(language.normalise(c).split()) == "".join(letters), c
+    model = language.fit(spark.createDataFrame([(i, "the house and the garden " * 4, "en") for i in range(9)], "doc_id long, text string, lang string"))
+    rows = [(1, "½ ²"), (2, "①"), (3, "Ⅷ"), (4, "² garden"), (5, "__ 12")]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {1: "und", 2: "und", 3: "und", 4: "en", 5: "und"}
+
+
 def _plain_scan(text):
     import re
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
