@@ -24,15 +24,20 @@ from panelcast.session import ship_package
 #: The bounded sample a language is learned from: so many rows, so many characters of each.
 SAMPLE_ROWS, SAMPLE_CHARS = 80, 600
 UNKNOWN = "und"
+_GAPS = re.compile(r"[\W\d_]+")
 #: Number signs that a regular expression takes for word signs though they are no letters
 #: (fractions, circled and Roman numerals; all lie below U+20000).
 _SIGNS = "".join(c for c in map(chr, range(0x80, 0x20000)) if unicodedata.category(c) in ("No", "Nl"))
-_GAPS = re.compile(rf"[\W\d_{re.escape(_SIGNS)}]+")
+_SIGN_GAPS = re.compile(rf"[ {re.escape(_SIGNS)}]+")
 
 
 def normalise(text: str) -> str:
     """Lower case, everything between letters one blank."""
-    return _GAPS.sub(" ", text.lower())
+    line = _GAPS.sub(" ", text.lower())
+    # few texts have such signs, and a pattern that names them all is slow
+    if line.isascii() or line.replace(" ", "").isalpha():
+        return line
+    return _SIGN_GAPS.sub(" ", line)
 
 
 class SuffixAutomaton:
