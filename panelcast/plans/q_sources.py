@@ -264,6 +264,29 @@ def repeated_header_filter_q(spark, sf_dir):
     return _region_typed(spark, sf_dir)
 
 
+@register("bronze_responses", sql=_RAW_REGION_SQL + " SELECT * FROM raw")
+def bronze_responses_q(spark, sf_dir):
+    """The landed responses as a bronze table: every cell as it came, header rows included."""
+    from panelcast.plans.layers import save_bronze
+    return save_bronze(_region_grid(spark, sf_dir), "region_responses", f"bronze_{uuid.uuid4().hex[:8]}")
+
+
+_SECTIONS, _SECTION_COLS = ["F", "P"], ["finished", "partial"]
+
+
+@register("sector_monthly", sql=f"""
+WITH base AS ({_REGION_DATA_SQL})
+SELECT region_code, month AS date, {S.pivot_sums('section', 'value', _SECTIONS, _SECTION_COLS, 2)} FROM base
+WHERE variable = 'revenue' AND section IN ('F', 'P') GROUP BY 1, 2""")
+def sector_monthly_q(spark, sf_dir):
+    """Responses by sector to a silver table: bronze copy, one variable and two sections,
+    markers, monthly pivot; the responses come in two column orders."""
+    from panelcast.plans.layers import SectorFlow, build_sector_silver
+    run, names = uuid.uuid4().hex[:8], L.REGION_LABELS
+    flow = SectorFlow(names[0], names[5], names[7], names[8], names[4], "revenue", _SECTIONS, _SECTION_COLS)
+    return build_sector_silver(_turned_grid(spark, sf_dir), flow, "sector_monthly", "2002-01-01", f"bronze_{run}", f"silver_{run}")
+
+
 @register("region_monthly_sum", sql=f"""
 WITH base AS ({_REGION_DATA_SQL}),
 agg AS (SELECT region_code, month AS date, sum(value) AS total FROM base WHERE variable = 'orders' GROUP BY 1, 2),

@@ -55,3 +55,16 @@ def gold_from_silver_q(spark, sf_dir):
     run = uuid.uuid4().hex[:8]                   # its own databases: runs side by side don't meet
     build_silver(spark, sf_dir, as_of="2002-01-01", layer=f"silver_{run}")
     return build_gold(spark, as_of="2002-01-01", layer=f"gold_{run}", silver=f"silver_{run}")
+
+
+_GOLD_NAMES = {"demand": "order_revenue", "qty_a": "returned_quantity"}
+
+
+@register("gold_renamed", sql=panel_ctes() + """ SELECT series, date, demand AS order_revenue, qty_a AS returned_quantity,
+""" + ", ".join(c for c in P.FEATURE_COLS if c != "qty_a") + " FROM master")
+def gold_renamed_q(spark, sf_dir):
+    """The medallion build with the columns' gold names, given before the validation."""
+    from panelcast.plans.layers import build_gold, build_silver
+    run = uuid.uuid4().hex[:8]
+    build_silver(spark, sf_dir, as_of="2002-01-01", layer=f"silver_{run}")
+    return build_gold(spark, as_of="2002-01-01", layer=f"gold_{run}", silver=f"silver_{run}", rename=_GOLD_NAMES)
