@@ -211,26 +211,37 @@ def simhash_groups(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET) -> D
     return marked.join(stored(ids, "simhash-ids"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def _marked(docs: DataFrame, k: int) -> DataFrame:
+    """(fp, doc_id, h, n): distinct rows by doc_id and text, with a hash of the text, and how often each occurs."""
+    text = whole_text()
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("text"), F.xxhash64(text).alias("h"))
+
+    def make():
+        def step(batch):
+            fps = ((i, fingerprint(text, k), h) for i, text, h in zip(*batch.values()))
+            return [(i, fp - (1 << 64) if fp >> 63 else fp, h) for i, fp, h in fps]
+        return step
+
+    return map_rows(src, schema(doc_id=LONG, fp=LONG, h=LONG), make).groupBy("fp", "doc_id", "h").agg(F.count("*").alias("n"))
+
+
 def one_of_each(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
-    """Documents with one row of each component: the one with the smallest doc_id.
+    """Documents with one row of each component, all columns as they are: the row with the
+    smallest doc_id (a missing one comes last), of equal ids that with the smallest hash
+    of its text.
 
-    Rows that repeat a kept doc_id are reduced to one. A component without any
-    doc_id keeps one row too, told by its text.
+    Rows are told apart by doc_id and text, so unrelated texts under one doc_id each stay;
+    of rows that repeat both, one stays. Null and empty texts are one component. An empty
+    table gives no rows.
     """
     name = fresh(docs, "row_key")
-    hashed = F.when(F.col("doc_id").isNull(), F.xxhash64(whole_text()))
-    tagged = docs.withColumn(name, F.to_json(F.struct(F.col("doc_id").cast("long").alias("i"), hashed.alias("h"))))
-    groups = simhash_groups(docs, k, budget)
-    keep = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    keep = keep.select(F.to_json(F.struct(F.col("doc_id").alias("i"))).alias(name), "n")
-    if groups.filter("component_id is null").limit(1).count():
-        # no document of the component has an id: the text hash stands for it
-        bare = docs.filter("doc_id is null").select(F.xxhash64(whole_text()).alias("doc_id"), "text")
-        only = simhash_groups(bare, k, budget).join(
-            groups.filter("component_id is null").select("fp").distinct(), "fp", "left_semi")
-        only = only.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-        keep = keep.union(only.select(F.to_json(F.struct(F.col("doc_id").alias("h"))), "n"))
-    keep = stored(keep, "simhash-keep")
+    marked = stored(_marked(docs, k), "simhash-docs")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "n")).alias("first")
+    fps = stored(marked.groupBy("fp").agg(first), "simhash-fps")
+    root = components(links(fps.select("fp"), budget)).select(F.col("node").alias("fp"), "root")
+    least = fps.join(root, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    keep = stored(least.select(F.to_json(F.struct(F.col("first.doc_id").alias("i"), F.col("first.h").alias("h"))).alias(name), "first.n"), "simhash-keep")
+    tagged = docs.withColumn(name, F.to_json(F.struct(F.col("doc_id").cast("long").alias("i"), F.xxhash64(whole_text()).alias("h"))))
     kept = tagged.join(keep.select(name), name, "left_semi")
     again = keep.filter("n > 1").select(name)
     if again.limit(1).count():

@@ -163,3 +163,12 @@ def test_short_benchmark_items(spark):
     assert got == want | {(1, 1), (2, 1), (2, 2), (3, 5)}
     left = {r["doc_id"] for r in contamination.keep_clean(docs, bench).collect()}
     assert left == {1, 2, 4, 5} | {100 * n + 50 for n in sizes}
+
+
+def test_unrelated_texts_under_one_id_each_stay(spark):
+    alpha, beta = "alpha beta gamma delta " * 9 + "one", "river stone cloud tree bird " * 9 + "two"
+    rows = [(1, alpha, "x"), (1, beta, "y"), (2, alpha, "z"), (1, beta, "w"), (None, alpha, "v"), (None, "lonely words here now", "u"), (3, None, "t"), (4, "", "s")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, row_key string")).collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+    assert got == sorted([(1, alpha), (1, beta), (None, "lonely words here now"), (3, None)], key=str)
+    assert all(set(r.asDict()) == {"doc_id", "text", "row_key"} for r in kept)
