@@ -30,8 +30,10 @@ from panelcast.llm.common import BINARY, LONG, STRING, map_rows, resident, schem
 #: White space as the pattern's engine has it (Unicode White_Space); fixed values.
 _SPACE = r"[\t-\r \x85\xa0  -     　]"
 _NONSPACE = "[^" + _SPACE[1:]
-#: Bounds of the caches of one worker; a full cache is emptied, results don't change.
-MAX_STATES, MAX_CHUNKS, MAX_PIECES = 120_000, 300_000, 250_000
+#: Bounds of the caches of one worker; what a full cache lets go is made again, results don't change.
+MAX_STATES, MAX_PAIRS, MAX_CHUNKS, MAX_PIECES = 300_000, 480_000, 240_000, 240_000
+#: A transition is one number: the tokens emitted in its upper bits, the next state in its lower ones.
+_EMIT, _STATE = 32, (1 << 32) - 1
 #: Vocabulary files are read on the driver and broadcast; larger ones are refused.
 MAX_VOCAB_BYTES = 64 << 20
 
@@ -53,7 +55,9 @@ class Transducer:
     """One piece of bytes in, token ids out.
 
     A path is (trie node of the token in progress, last whole token, tokens held
-    back); a state is the paths that are alive, longest progress first.
+    back); a state is the paths that are alive, shortest progress first. States are
+    numbered; their paths are kept packed as 32-bit numbers (node, token, how many
+    are held back, those), and all transitions lie in one table.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -74,24 +78,25 @@ class Transducer:
             self._ends[node] = i
         self._merges: dict[int, tuple | None] = {}
         self._pairs: dict[int, bool] = {}
-        self._states = {}
         self._reset()
 
-    def release(self) -> None:
-        """States refer to each other; emptied, they go at once."""
-        for table in self._states.values():
-            table.clear()
-
     def _reset(self) -> None:
-        self.release()
-        self.start: dict = {}
-        self._states: dict[tuple, dict] = {}
-        self._register(((0, -1, ()),), self.start)
-
-    def _register(self, paths: tuple, table: dict) -> dict:
-        table[-1] = paths
-        self._states[paths] = table
-        return table
+        self._next: dict[int, int] = {}             # state << 8 | byte -> transition
+        self._paths: list[bytes] = []               # of each state
+        self._numbers: dict[bytes, int] = {}        # paths -> state
+        self._held: dict[int, tuple[int, ...]] = {}     # what a piece that ends in a state still gives
+        self._emits: list[tuple[int, ...]] = [()]
+        self._emit_numbers: dict[tuple[int, ...], int] = {(): 0}
+        self._state(array("i", (0, -1, 0)).tobytes())
+
+    release = _reset
+
+    def _state(self, paths: bytes) -> int:
+        number = self._numbers.get(paths)
+        if number is None:
+            number = self._numbers[paths] = len(self._paths)
+            self._paths.append(paths)
+        return number
 
     def merge(self, piece: bytes, history: list | None = None) -> list[int]:
         """Merge by rank, smallest first, leftmost of equals. ``history`` gets, for each
@@ -143,16 +148,21 @@ class Transducer:
                 last, i = left[i][2], i + 1
             else:
                 first, j = right[j][1], j + 1
-        if len(self._pairs) > 4 * MAX_STATES:
+        if len(self._pairs) > MAX_PAIRS:
             self._pairs.clear()
         self._pairs[before << 32 | token] = ok
         return ok
 
-    def _step(self, table: dict, byte: int) -> tuple[tuple, dict]:
-        """Determinise one transition: (tokens emitted, next state)."""
+    def _step(self, state: int, byte: int) -> int:
+        """Determinise one transition."""
+        paths, flat, at = [], memoryview(self._paths[state]).cast("i").tolist(), 0
+        while at < len(flat):
+            stop = at + 3 + flat[at + 2]
+            paths.append((flat[at], flat[at + 1], tuple(flat[at + 3:stop])))
+            at = stop
         alive, done = [], None
         trie, pairs = self._trie, self._pairs
-        for node, before, held in table[-1]:
+        for node, before, held in reversed(paths):      # longest progress first
             child = trie.get(node << 8 | byte)
             if child is None:
                 continue
@@ -165,47 +175,45 @@ class Transducer:
                     done = (0, token, held + (token,))
         if done is not None:
             alive.append(done)
-        if len(alive) == 1:
-            agreed = alive[0][2]
-            alive = [(alive[0][0], alive[0][1], ())]
-        else:
-            agreed, n = alive[0][2], 0
-            for _, _, held in alive:
-                if len(held) < len(agreed):
-                    agreed = agreed[:len(held)]
-                while held[:len(agreed)] != agreed:
-                    agreed = agreed[:-1]
-                if not agreed:
-                    break
-            if agreed:
-                n = len(agreed)
-                alive = [(p, b, h[n:]) for p, b, h in alive]
-        paths = tuple(alive)
-        state = self._states.get(paths)
-        if state is None:
-            state = self._register(paths, {})
-        table[byte] = found = (agreed, state)
+        agreed = alive[0][2]
+        for _, _, held in alive:
+            while held[:len(agreed)] != agreed:
+                agreed = agreed[:-1]
+            if not agreed:
+                break
+        packed, n = [], len(agreed)
+        for node, before, held in reversed(alive):
+            packed += (node, before, len(held) - n, *held[n:])
+        emit = self._emit_numbers.get(agreed)
+        if emit is None:
+            emit = self._emit_numbers[agreed] = len(self._emits)
+            self._emits.append(agreed)
+        found = self._next[state << 8 | byte] = emit << _EMIT | self._state(array("i", packed).tobytes())
         return found
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
-        if len(self._states) > MAX_STATES:
+        if len(self._paths) > MAX_STATES:
             self._reset()
-        out, state = [], self.start
+        out, state, get, emits = [], 0, self._next.get, self._emits
         for byte in piece:
-            found = state.get(byte)
+            found = get(state << 8 | byte)
             if found is None:
                 found = self._step(state, byte)
-                if len(self._states) > 2 * MAX_STATES:      # inside one very long piece
-                    paths = found[1][-1]
+                if len(self._paths) > 2 * MAX_STATES:       # inside one very long piece
+                    out += emits[found >> _EMIT]
+                    paths = self._paths[found & _STATE]
                     self._reset()
-                    found = (found[0], self._register(paths, {}))
-            if found[0]:
-                out += found[0]
-            state = found[1]
-        node, _, held = state[-1][-1]
-        if piece and node == 0:
-            out += held
-        return tuple(out)
+                    found, get, emits = self._state(paths), self._next.get, self._emits
+            if found > _STATE:
+                out += emits[found >> _EMIT]
+                state = found & _STATE
+            else:
+                state = found
+        held = self._held.get(state)
+        if held is None:
+            node, _, n, *rest = memoryview(self._paths[state]).cast("i").tolist()
+            held = self._held[state] = tuple(rest[:n]) if node == 0 else ()
+        return (*out, *held)
 
 
 class Utf8Machine:
@@ -216,6 +224,12 @@ class Utf8Machine:
         self.start: dict = {}
         self._tables: dict[bytes, dict] = {b"": self.start}
         self._waits: dict[int, bytes] = {id(self.start): b""}
+        self._whole: dict[int, str] = {}    # tokens that lead from the start back to it
+        for token, data in tokens.items():
+            try:
+                self._whole[token] = data.decode()
+            except UnicodeDecodeError:
+                pass
 
     @staticmethod
     def open_tail(data: bytes) -> int:
@@ -243,21 +257,54 @@ class Utf8Machine:
         return found
 
     def feed(self, ids, state: dict | None = None) -> tuple[str, dict]:
-        """Text that is now complete, and the state to go on from."""
+        """Text that is now complete, and the state to go on from. Tokens that are whole
+        UTF-8 leave the start state as it is, so runs of them are joined as they are."""
         state = self.start if state is None else state
-        out = []
-        for i in ids:
-            found = state.get(i)
+        whole = list(map(self._whole.get, ids))
+        out, at = [], 0
+        while at < len(whole):
+            if state is self.start:
+                try:
+                    stop = whole.index(None, at)
+                except ValueError:
+                    stop = len(whole)
+                out += whole[at:stop]
+                at = stop
+                if at == len(whole):
+                    break
+            found = state.get(ids[at])
             if found is None:
-                found = self._step(state, i)
+                found = self._step(state, ids[at])
             text, state = found
             out.append(text)
+            at += 1
         return "".join(out), state
 
     def finish(self, state: dict) -> str:
         return self._waits[id(state)].decode("utf-8", "replace")
 
 
+class _Memo(dict):
+    """Results of ``make`` by text, in two generations: when the young one holds half of
+    ``most`` it becomes the old one, and what is asked for again moves back. Texts of more
+    than 64 characters aren't kept."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        found = self.old.get(text)
+        if found is None:
+            found = self.make(text)
+        if len(text) <= 64:
+            if 2 * len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[text] = found
+        return found
+
+
 class Codec:
     """Whole texts to ids and back; splits by the pattern, keeps what it has met."""
 
@@ -268,10 +315,11 @@ class Codec:
         self.utf8 = Utf8Machine(self.fst.tokens)
         self.split = regex.compile(_own_space(pattern)).findall
         self.decimal = {i: str(i) for i in self.fst.tokens}
-        self._chunks: dict[str, tuple] = {}
-        self._pieces: dict[str, tuple] = {}
-        # a space between two non-spaces always begins a new match of the pattern
-        self._uneven = re.compile(r"\s\s|^\s|\s\Z").search
+        self._piece = _Memo(self._encode_piece, MAX_PIECES).__getitem__
+        self._chunk = _Memo(self._encode_chunk, MAX_CHUNKS // 4).__getitem__
+        self._spaced = _Memo(self._encode_spaced, MAX_CHUNKS * 3 // 4).__getitem__
+        # a space between two non-spaces always begins a new match of the pattern,
+        # and a line feed between two is a match by itself
         self._cut = re.compile(r"(?<=\S) (?=\S)").split
         self._next_cut = re.compile(r"(?<=\S) (?=\S)").search
 
@@ -280,25 +328,18 @@ class Codec:
         for table in self.utf8._tables.values():
             table.clear()
 
-    def _piece(self, piece: str) -> tuple:
-        ids = self._pieces.get(piece)
-        if ids is None:
-            data = piece.encode()
-            whole = self.ranks.get(data)
-            ids = (whole,) if whole is not None else self.fst.encode(data)
-            if len(data) <= 64:
-                if len(self._pieces) >= MAX_PIECES:
-                    self._pieces.clear()
-                self._pieces[piece] = ids
-        return ids
-
-    def _chunk(self, chunk: str) -> tuple:
-        ids = tuple(chain.from_iterable(map(self._piece, self.split(chunk))))
-        if len(chunk) <= 64:
-            if len(self._chunks) >= MAX_CHUNKS:
-                self._chunks.clear()
-            self._chunks[chunk] = ids
-        return ids
+    def _encode_piece(self, piece: str) -> tuple[int, ...]:
+        data = piece.encode()
+        whole = self.ranks.get(data)
+        return (whole,) if whole is not None else self.fst.encode(data)
+
+    def _encode_chunk(self, chunk: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self._piece, self.split(chunk))))
+
+    def _encode_spaced(self, word: str) -> tuple[int, ...]:
+        if word.isascii() and word.isalpha():       # one match
+            return self._piece(" " + word)
+        return self._encode_chunk(" " + word)
 
     def blocks(self, text: str, size: int = 1 << 18) -> Iterator[str]:
         """The text in blocks that end where a new match must begin."""
@@ -312,12 +353,16 @@ class Codec:
         yield text[at:]
 
     def encode_block(self, text: str) -> list[int]:
-        parts = self._cut(text) if self._uneven(text) else text.split(" ")
-        get, out, first = self._chunks.get, [], parts[0]
-        out.append(get(first) or self._chunk(first))
-        for part in parts[1:]:
-            part = " " + part
-            out.append(get(part) or self._chunk(part))
+        if " ".join(text.split()) != text.replace("\n", " "):      # other or doubled white space
+            first, *words = self._cut(text)
+            return [*self._chunk(first), *chain.from_iterable(map(self._spaced, words))]
+        out = []
+        for line in text.split("\n"):
+            if out:
+                out.append(self._chunk("\n"))
+            first, *words = line.split(" ")
+            out.append(self._chunk(first))
+            out.extend(map(self._spaced, words))
         return list(chain.from_iterable(out))
 
     def encode(self, text: str) -> Iterator[list[int]]:
