@@ -304,6 +304,11 @@ class _Memo(dict):
             self[text] = found
         return found
 
+    def release(self) -> None:
+        """Let go of the texts and of ``make``, which refers back to the owner."""
+        self.clear()
+        self.old, self.make = {}, None
+
 
 class Codec:
     """Whole texts to ids and back; splits by the pattern, keeps what it has met."""
@@ -325,6 +330,8 @@ class Codec:
 
     def release(self) -> None:
         self.fst.release()
+        for kept in (self._piece, self._chunk, self._spaced):
+            kept.__self__.release()
         for table in self.utf8._tables.values():
             table.clear()
 

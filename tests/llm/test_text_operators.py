@@ -44,6 +44,22 @@ def test_transducer_survives_full_caches(tiktoken_encoding, monkeypatch):
     assert [i for run in c.encode(text) for i in run] == tiktoken_encoding.encode_ordinary(text)
 
 
+def test_codec_is_freed_when_released(tiktoken_encoding):
+    """What one stage keeps in a worker goes at once when the next stage builds its model."""
+    import gc
+    import weakref
+    c = bpe.Codec(tiktoken_encoding._mergeable_ranks, P.PATTERN)
+    assert [i for b in c.encode("one line.\nnext line") for i in b] == tiktoken_encoding.encode_ordinary("one line.\nnext line")
+    gone = weakref.ref(c)
+    gc.disable()
+    try:
+        c.release()
+        del c
+        assert gone() is None
+    finally:
+        gc.enable()
+
+
 def test_broken_utf8_is_replaced_as_python_does():
     for data in (b"a\xffb", b"\xe4\xb8", b"\xf0\x9f\x99", b"\xed\xa0\x80x", b"\xc3(", b"\xe0\x80\x80"):
         m = bpe.Utf8Machine({i: data[i:i + 1] for i in range(len(data))})
