@@ -5,8 +5,9 @@ the work grows with the data instead of with a loop over series. The rows of a f
 are turned into vectors once, dealt over as many partitions as their measured
 bytes need and stored, in a fixed order, so that a fit does not depend on how its
 input was dealt. Fits that are independent of each other (search trials,
-walk-forward folds) are submitted as concurrent Spark jobs from a small driver
-thread pool; only model parameters, scores and column names come back to the driver.
+walk-forward folds) are submitted as concurrent Spark jobs from a driver thread pool,
+as many at once as keep the cores busy; only model parameters, scores and column names
+come back to the driver.
 """
 
 from __future__ import annotations
@@ -116,6 +117,15 @@ def fit_rows(df: DataFrame, spec: TrainSpec, *more: str) -> DataFrame:
     return cut_lineage(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order))
 
 
+def fits_at_once(rows: DataFrame) -> int:
+    """Independent fits on ``rows`` (of ``fit_rows``) to submit together.
+
+    A fit has as many tasks at a time as its rows have partitions, and on a small panel
+    its jobs mostly wait for the scheduler: two tasks for each core, four fits at least."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(4, math.ceil(2 * cores / max(1, rows.rdd.getNumPartitions())))
+
+
 def _assembler(spec: TrainSpec) -> VectorAssembler:
     return VectorAssembler(inputCols=spec.feature_cols, outputCol=FEATURES_VEC, handleInvalid="keep")
 
@@ -191,9 +201,10 @@ def hyperparameter_search(df: DataFrame, spec: TrainSpec, space: SearchSpace, n_
 
 
 def walk_forward_cv(folds: DataFrame, spec: TrainSpec, params: TreeParams, seed: int = 0,
-                    parallel: int = 4) -> DataFrame:
+                    parallel: int | None = None) -> DataFrame:
     """One fit per fold on its 'train' rows (weights on the full trainval scale),
-    MAPE on its 'test' rows; fits run as concurrent jobs. Output (fold, mape).
+    MAPE on its 'test' rows; ``parallel`` fits (``fits_at_once`` by default) run as
+    concurrent jobs. Output (fold, mape).
 
     Series that were rejected for the folds (NULL fold) take no part."""
     spark = folds.sparkSession
@@ -208,7 +219,7 @@ def walk_forward_cv(folds: DataFrame, spec: TrainSpec, params: TreeParams, seed:
         mape = pred.agg(F.avg(F.abs(y - F.col("y_pred")) / F.greatest(F.abs(y), F.lit(MAPE_EPS)))).collect()[0][0]
         return k, float(mape)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
+    with ThreadPoolExecutor(max_workers=max(1, parallel or fits_at_once(rows))) as ex:
         res = list(ex.map(run, ids))
     return spark.createDataFrame(res, "fold int, mape double")
 

@@ -102,6 +102,25 @@ def test_gbt_beats_naive_and_search_and_folds(spark):
     assert cv.count() == 3 and cv.filter(F.col("mape").isNull()).count() == 0
 
 
+def test_folds_are_fitted_together_as_the_cores_allow(spark, monkeypatch):
+    """Eight small fits start at once on four cores; four at a time never fill the barrier."""
+    import threading
+    from types import SimpleNamespace
+    together = threading.Barrier(8)
+
+    def fit(rows, *_):
+        together.wait(timeout=60)
+        return SimpleNamespace(stages=[SimpleNamespace(transform=lambda df: df.withColumn("y_pred", F.col("demand") * 1.5))])
+
+    monkeypatch.setattr(MD, "fit_boosted_trees", fit)
+    rows = [("s", dt.date(2010, 1 + i, 1), 2.0, 1.0, 1.0, k, role) for k in range(8) for i, role in enumerate(("train", "test"))]
+    folds = spark.createDataFrame(rows, "series string, date date, demand double, x double, w double, fold int, role string")
+    cv = MD.walk_forward_cv(folds, MD.TrainSpec(feature_cols=["x"], weight="w"), MD.TreeParams())
+    assert [tuple(r) for r in cv.orderBy("fold").collect()] == [(k, 0.5) for k in range(8)]
+    many = spark.range(64).repartition(64)
+    assert MD.fits_at_once(many) == 4 and MD.fits_at_once(many.coalesce(1)) == 8
+
+
 def test_order_choice_is_free_of_units_and_short_series_stay(spark):
     import numpy as np
     rng = np.random.default_rng(3)
