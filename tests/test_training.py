@@ -81,6 +81,37 @@ def test_search_uses_the_trees_a_plain_evaluation_would(frame):
     assert best.max_iter == min(rows, key=lambda r: (r["val_mse"], r["trial"]))["trees_used"]
 
 
+def test_search_fits_few_rounds_first_and_trials_together(frame, monkeypatch):
+    """Of 600 rounds a trial that stops at round 50 costs 80 (a quarter were 150), one that
+    never stops all of them at last; eight small trials start at once on four cores."""
+    import threading
+    together, fitted, lock = threading.Barrier(8), {}, threading.Lock()
+    space = MD.SearchSpace(max_iter=(600, 600), max_depth=(2, 3))
+
+    def fit(rows, spec, p, seed):
+        with lock:
+            done = fitted.setdefault(p.step_size, [])
+            done.append(p.max_iter)
+        if len(done) == 1:
+            together.wait(timeout=60)
+        return p
+
+    def errors(p, rows):
+        best = 30 if p.max_depth == 2 else 600
+        return [abs(best - i) + p.step_size for i in range(1, p.max_iter + 1)]
+
+    monkeypatch.setattr(MD, "fit_boosted_trees", fit)
+    monkeypatch.setattr(MD, "staged_errors", errors)
+    table, best = MD.hyperparameter_search(frame, spec(), space, 8)
+    rows = table.orderBy("trial").collect()
+    assert [r["trial"] for r in rows] == list(range(8)) and len({json.loads(r["params"])["max_depth"] for r in rows}) == 2
+    for r in rows:
+        p = MD.TreeParams(**json.loads(r["params"]))
+        assert (r["trees_used"], fitted[p.step_size]) == ((30, [80]) if p.max_depth == 2 else (600, [80, 160, 320, 600]))
+        assert r["val_mse"] == p.step_size
+    assert best.max_iter in (30, 600) and MD.fit_lengths(50, 20) == [50] and MD.fit_lengths(3, 0) == [1, 2, 3]
+
+
 def test_search_names_are_mapped_or_refused():
     p = MD.TreeParams.from_search_names(dict(n_estimators=70, learning_rate=0.02, subsample=0.6, colsample_bytree=0.5,
                                              min_child_weight=4, gamma=0.1, max_depth=5))
