@@ -314,12 +314,17 @@ def permutation_importance(model: PipelineModel, val: DataFrame, spec: TrainSpec
     All (feature, repeat) copies of the validation rows are built as one
     DataFrame: the shuffled value is the value of the row with the same rank in
     an ``xxhash64(row, feature, repeat)`` order, within the same series, and
-    the model scores every copy in a single ``transform``. Features with mean
-    > 0 are kept; protected features are put first."""
+    the model scores every copy in a single ``transform``. The increase is taken
+    row by row, so that a shuffle that changes no prediction costs exactly 0 in
+    whatever order rows are added up. Features with mean > 0 are kept; protected
+    features are put first."""
     feats = list(spec.feature_cols)
     keys = spec.keys
     rid_w = Window.partitionBy(*keys).orderBy(spec.date)
-    base = val.withColumn("_rid", F.row_number().over(rid_w))
+    y = F.col(spec.label)
+    ape = F.abs(y - F.col("y_pred")) / F.greatest(F.abs(y), F.lit(MAPE_EPS))
+    base = model.transform(val.withColumn("_rid", F.row_number().over(rid_w)))
+    base = base.withColumn("_base", ape).drop(FEATURES_VEC, "y_pred")
     # F x R copies of each validation row (a fixed factor, made by two explodes)
     copies = base.withColumn("_feat", F.explode(F.lit(feats))) \
                  .withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
@@ -333,14 +338,9 @@ def permutation_importance(model: PipelineModel, val: DataFrame, spec: TrainSpec
     copies = copies.join(donors, [*keys, "_donor", "_feat"], "left")
     copies = copies.withColumns({c: F.when(F.col("_feat") == F.lit(c), F.col("_perm")).otherwise(F.col(c))
                                  for c in feats})
-    y = F.col(spec.label)
-    ape = F.abs(y - F.col("y_pred")) / F.greatest(F.abs(y), F.lit(MAPE_EPS))
-    base_mape = model.transform(base).agg(F.avg(ape).alias("base"))
-    perm = model.transform(copies).groupBy("_feat", "_rep").agg(F.avg(ape).alias("mape"))
-    perm = perm.withColumn("_one", F.lit(1)).join(F.broadcast(base_mape.withColumn("_one", F.lit(1))), "_one")
+    perm = model.transform(copies).groupBy("_feat", "_rep").agg(F.avg(ape - F.col("_base")).alias("increase"))
     imp = perm.groupBy(F.col("_feat").alias("feature")).agg(
-        F.avg(F.col("mape") - F.col("base")).alias("importance_mean"),
-        F.stddev_pop(F.col("mape") - F.col("base")).alias("importance_std"))
+        F.avg("increase").alias("importance_mean"), F.stddev_pop("increase").alias("importance_std"))
     named = F.array(*[F.lit(f) for f in protected or []]).cast("array<string>")
     useful, score = F.col("importance_mean") > 0, F.col("importance_mean")
     place = F.nullif(F.array_position(named, F.col("feature")), F.lit(0))

@@ -151,6 +151,19 @@ def test_training_with_selection_drops_pure_noise_and_refits(frame):
     assert list(res.model.stages[0].getInputCols()) == res.feature_cols and res.predictions.count() == frame.count()
 
 
+def test_shuffles_without_effect_cost_exactly_nothing(frame):
+    """Columns of one value on val: no shuffle changes a prediction, however the rows are added up."""
+    flat = [f"flat_{i}" for i in range(12)]
+    df = frame.withColumns({c: F.when(F.col("split") == "val", F.lit(0.5)).otherwise(F.rand(i)) for i, c in enumerate(flat)})
+    df = T.cut_lineage(df)
+    s = spec([*COLS, *flat])
+    m = MD.fit_boosted_trees(df.filter("split = 'train'"), s, SMALL)
+    imp, kept = MD.permutation_importance(m, df.filter("split = 'val'").repartition(5), s, repeats=12)
+    got = {r["feature"]: (r["importance_mean"], r["importance_std"]) for r in imp.collect()}
+    assert {got[c] for c in flat} == {(0.0, 0.0)} and not set(flat) & set(kept)
+    assert got["demand_lag_1"][0] != 0 and len(got) == len(COLS) + len(flat)
+
+
 def test_cross_validation_alone_fits_no_final_model(frame):
     rp = T.RunParams.quick(base_trees=SMALL, n_folds=2)
     short = frame.filter("series = 'a' or date < '2011-06-01'")
