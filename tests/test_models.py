@@ -121,6 +121,12 @@ def test_folds_are_fitted_together_as_the_cores_allow(spark, monkeypatch):
     assert MD.fits_at_once(many) == 4 and MD.fits_at_once(many.coalesce(1)) == 8
 
 
+def test_more_cores_do_not_bring_more_fits_than_the_driver_can_clean_up_after():
+    from types import SimpleNamespace as N
+    rows = lambda cores, parts: N(sparkSession=N(sparkContext=N(defaultParallelism=cores)), rdd=N(getNumPartitions=lambda: parts))
+    assert [MD.fits_at_once(rows(*x)) for x in ((2, 1), (4, 1), (12, 1), (600, 1), (600, 200))] == [4, 8, 8, 8, 6]
+
+
 def test_order_choice_is_free_of_units_and_short_series_stay(spark):
     import numpy as np
     rng = np.random.default_rng(3)
